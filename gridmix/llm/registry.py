@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from gridmix.llm import quality, secrets, tokens
+from gridmix.llm import decontam, mixing, packing, quality, secrets, simhash, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable] = {
+    "op2_decontamination": decontam.query,
+    "op3_toxicity": toxicity.query,
     "op4_secret_scan": secrets.query,
     "op5_token_counts": tokens.query,
     "op6_quality_rules": quality.query,
+    "op7_simhash": simhash.query,
+    "op8_packing": packing.query,
+    "op9_language_model": mixing.query,
+    "op10_warc": warc.query,
 }
-SQL: dict[str, str] = {"op6_quality_rules": quality.SQL}
+SQL: dict[str, str] = {"op2_decontamination": decontam.SQL, "op6_quality_rules": quality.SQL, "op10_warc": warc.SQL}
