@@ -26,35 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmix.llm.common import row_slices, table, text_bytes
+from gridmix.llm.hashing import BASE, Ranges, mixed
 
 WORDS = 5
 #: A block of items, with its shingles, takes about forty times this in a task.
 BLOCK_BYTES = 4 << 20
 CHUNK = 2 << 20
-BASE = np.uint64(0x9E3779B97F4A7C15)
-MIX = np.uint64(0xD6E8FEB86659FD93)
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ h >> np.uint64(32)) * MIX
-    return (h ^ h >> np.uint64(29)) * MIX
-
-
-class Powers:
-    """Powers of BASE and of its inverse modulo 2**64, for hashes of byte ranges by prefix sums."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-            self.up = np.cumprod(np.append(np.ones(1, np.uint64), np.full(n, BASE)))
-            self.down = np.cumprod(np.append(np.ones(1, np.uint64), np.full(n, inverse)))
-        return self.up, self.down
-
-
-_powers = Powers()
 
 
 def word_ranges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,9 +51,7 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, k: int = WORDS) -> tuple[np.n
     low = np.where((raw >= 65) & (raw <= 90), raw + 32, raw)
     start, end = word_ranges(low, offsets)
     row = np.searchsorted(offsets, start, side="right") - 1
-    up, down = _powers.get(len(low) + 1)
-    sums = np.append(np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[: len(low)]))
-    word = mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    word = Ranges(low).hash(start, end)
     n = len(word)
     rows, out = [], []
     if n >= k:

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from gridmix.llm import decontam, mixing, packing, quality, secrets, simhash, tokens, toxicity, warc
+import corpus_pipeline
+
+from gridmix.llm import decontam, mixing, packing, quality, repeats, secrets, simhash, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable] = {
+    "pipeline": corpus_pipeline.run,
+    "op1_repeats": repeats.query,
     "op2_decontamination": decontam.query,
     "op3_toxicity": toxicity.query,
     "op4_secret_scan": secrets.query,
