@@ -36,7 +36,7 @@ def utc(local: str) -> str:
 
 
 def r6(x: str, name: str | None = None) -> str:
-    return f"round({x}, 6) AS {name or x.split('.')[-1]}"
+    return f"round({x}, 6) + 0 AS {name or x.split('.')[-1]}"
 
 
 _regions = "[" + ", ".join(f"'{c}'" for c in REGION_CODES) + "]"
@@ -273,5 +273,7 @@ def oracle_sql() -> dict[str, str]:
                     needed.add(c)
                     todo.append(CTE[c])
         used = [f"{c} AS ({CTE[c]})" for c in CTE if c in needed]
+        if name == "m10_daily_mix":
+            query = query.replace(", 6) + 0", ", 8) + 0")
         out[name] = f"WITH {', '.join(used)} {query}" if used else query
     return out
