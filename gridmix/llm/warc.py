@@ -1,5 +1,6 @@
 """WARC archives with an index that is written first: (file, offset, length, url, digest) of every record.
 
+Every record is a gzip member of its own, as WARC readers expect, so that a byte range of the file holds whole records.
 Each task writes one archive to the shared folder and returns an index row per record; the index is a Parquet table.
 Readers select index rows, sort them by file and offset, and fetch neighbouring records by one coalesced byte-range
 read. Archive names are unique per task attempt, so a task that is run again leaves the first attempt's file unused
@@ -13,6 +14,7 @@ responses); an empty table gives an empty index; other columns of the input are
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -69,20 +71,21 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = filesystem(folder)
-        name, at, out = f"{uuid.uuid4().hex}.warc", 0, None
+        name, at, out = f"{uuid.uuid4().hex}.warc.gz", 0, None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             if out is None:
                 store.create_dir(path, recursive=True)
-                out = store.open_output_stream(f"{path}/{name}")
+                out = store.open_output_stream(f"{path}/{name}", compression=None)
             offsets, lengths = [], []
             for row in batch.to_pylist():
                 body = b"" if row["record_type"] == "revisit" else row["payload"].encode("utf-8", "surrogatepass")
                 head = header(row["record_type"], row, len(body))
-                out.write(head + body + END)
+                record = gzip.compress(head + body + END, 6, mtime=0)
+                out.write(record)
                 offsets.append(at)
-                lengths.append(len(head) + len(body) + len(END))
+                lengths.append(len(record))
                 at += lengths[-1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(offsets)), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), *(batch[c] for c in ("page_id", "url", "digest", "record_type", "refers_to"))],
@@ -94,12 +97,11 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
     return staged(rows.mapInArrow(write, INDEX.format(id=kind)))
 
 
-def parse(record: memoryview) -> tuple[dict[str, str], memoryview]:
+def parse(member: memoryview) -> tuple[dict[str, str], bytes]:
     """Header fields and body of one record."""
-    cut = bytes(record[:8192]).find(END)
-    if cut < 0:
-        cut = bytes(record).index(END)
-    fields = dict(line.split(": ", 1) for line in bytes(record[:cut]).decode().split("\r\n")[1:])
+    record = gzip.decompress(member)
+    cut = record.index(END)
+    fields = dict(line.split(": ", 1) for line in record[:cut].decode().split("\r\n")[1:])
     body = record[cut + 4 : cut + 4 + int(fields["Content-Length"])]
     return fields, body
 
