@@ -39,8 +39,9 @@ PREFIXES = (4, 5, 6, 7)
 
 # Letters that digits and symbols imitate.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y", "§": "s"}
-#: Natural logs of the channel: writing an imitation, inserting a mark, stretching a letter.
-IMITATE, INSERT, STRETCH = -1.0, -1.5, -1.0
+#: Natural logs of the channel: writing an imitation, inserting a mark, inserting a mark that could be an imitation,
+#: stretching a letter.
+IMITATE, INSERT, INSERT_LIKE, STRETCH = -1.0, -0.5, -12.0, -1.0
 EDGE = ".,;:!?\"'()[]{}<>#$%&*|~^`=/\\_-+«»“”‘’…"
 SYMBOLS = 64
 SPELLED = re.compile(r"(?<!\S)\w(?:[ ._*-]\w){2,}(?!\w)")
@@ -115,7 +116,7 @@ class Restorer:
                 if n > 1:
                     steps.append((c, STRETCH))
             else:
-                steps.append(("", INSERT))
+                steps.append(("", INSERT_LIKE if c in LEET else INSERT))
                 for to in LEET.get(c, ""):
                     steps.append((to * min(n, 2), IMITATE))
                     if n > 1:
