@@ -34,6 +34,13 @@ def staged(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.select(*columns).schema if columns else df.schema).parquet(path)
 
 
+def hashed_share(df: DataFrame, n: int, most: int, *columns: str) -> DataFrame:
+    """About ``most`` of n rows (fewer, if there are fewer), by a hash of some columns. An ordered limit alone would
+    bring that many rows of every partition to one task; after this, one may follow."""
+    share = min(1.0, most / max(n, 1))
+    return df if share == 1.0 else df.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+
+
 def by_batch(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one batch."""
 

@@ -79,9 +79,13 @@ def spark_rule(name: str) -> Column:
     return F.expr(f"coalesce({RULES[name].replace(chr(92), chr(92) * 2).replace(", 'g')", ')')}, false)")
 
 
-def ordered_rules(counted: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rule names by estimated rejections per second on the first ``rows`` rows that Spark delivers."""
-    seen = counted.limit(rows).cache()
+def ordered_rules(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
+    """Rule names by estimated rejections per second on the first ``rows`` rows that Spark delivers.
+
+    ``take`` reads as few partitions as it needs; a limit in the plan would bring rows of all of them to one task.
+    """
+    first = docs.select("doc_id", "text")
+    seen = counts(docs.sparkSession.createDataFrame(first.take(rows), first.schema)).cache()
     total = max(seen.count(), 1)
     gain = {}
     for name in RULES:
@@ -95,7 +99,7 @@ def ordered_rules(counted: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
 def quality(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     """doc_id, the base counts, base_failed, kept and the first rule that rejected (null if none)."""
     counted = counts(docs)
-    names = order or ordered_rules(counted)
+    names = order or ordered_rules(docs)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     verdict = F.when(F.col("base_failed"), "base")
     for name in names:

@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import by_batch, components, staged, table
+from gridmix.llm.common import by_batch, components, hashed_share, staged, table
 
 WORDS, SEED, BITS, MOST = 3, 42, 64, 3
-#: Fingerprints on which the numbers of candidates are estimated; results don't depend on it.
+#: About how many fingerprints the numbers of candidates are estimated on; results don't depend on it.
 SAMPLE_ROWS = 20_000
 #: Keys with more rows than this are split by further bits.
 HOT = 20_000
@@ -239,7 +239,7 @@ def verified(keyed: DataFrame) -> DataFrame:
 def components_of(distinct: DataFrame, hot: int = HOT) -> DataFrame:
     """(fp, root) for all fingerprints that link to another one."""
     n, both = bit_sums(distinct)
-    sample = np.array([r["fp"] for r in distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE_ROWS).select("fp").collect()], np.int64).view(np.uint64)
+    sample = np.array([r["fp"] for r in hashed_share(distinct, n, SAMPLE_ROWS, "fp").select("fp").collect()], np.int64).view(np.uint64)
     parts = plan(sample, n, both)
     keyed = distinct.select("fp", F.explode(keys_of(F.col("fp"), parts)).alias("k")).select("k.part", "k.key", "fp")
     return components(verified(refined(keyed, parts, hot))).select(F.col("node").alias("fp"), "root")
