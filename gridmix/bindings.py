@@ -321,7 +321,7 @@ def overlapping(spark, d):
 
 
 def hierarchy(spark, d):
-    a = bronze_areas(spark, d).withColumn("publie", F.when(F.crc32("code_iris") % 9 == 0, "00").otherwise(F.left("code_insee_commune", F.lit(2))))
+    a = bronze_areas(spark, d).withColumn("publie", F.when(F.right("code_iris", F.lit(1)) == "5", "00").otherwise(F.left("code_insee_commune", F.lit(2))))
     return quality.mismatched_hierarchy(a.withColumn("deduit", text.department_of(F.col("code_insee_commune"))), "deduit", "publie").select("annee", "code_iris", "deduit", "publie")
 
 

@@ -253,6 +253,7 @@ QUERY = {
     "q1_duplicates": "SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "q4_orphans": "SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "q8_overlaps": "SELECT event_id, ts, minutes, suivant FROM (SELECT ts, min(event_id) AS event_id, max(user_id % 10)::BIGINT AS minutes, lead(ts) OVER (ORDER BY ts) AS suivant FROM events GROUP BY ts) WHERE suivant < ts + to_minutes(minutes)",
+    "q9_hierarchy": f"SELECT annee, code_iris, {_department.format('code_insee_commune')} AS deduit, '00' AS publie FROM b_iris WHERE right(code_iris, 1) = '5' AND code_insee_commune IS NOT NULL",
     "q10_freshness": "SELECT max(date_heure) AS dernier, max(date_heure) FILTER (WHERE taux_co2 IS NOT NULL) AS dernier_mesure, count(*) AS nb_lignes, round(date_diff('second', max(date_heure) FILTER (WHERE taux_co2 IS NOT NULL), TIMESTAMP '2026-04-26 06:00:00') // 60 / 60.0, 6)::DOUBLE AS retard_heures, CASE WHEN date_diff('minute', max(date_heure) FILTER (WHERE taux_co2 IS NOT NULL), TIMESTAMP '2026-04-26 06:00:00') > 120 THEN 'en_retard' ELSE 'ok' END AS verdict FROM tr",
     "q11_month_coverage": f"""SELECT mois, n AS nb_instants, a AS nb_attendus, round(n / a, 6) AS couverture, CASE WHEN n / a >= 0.95 THEN 'ok' ELSE 'incomplet' END AS verdict FROM (
       SELECT m AS mois, (SELECT count(DISTINCT date_heure) FROM cons WHERE date_trunc('month', {paris('date_heure')})::DATE = m) AS n, {month_hours('m')} * 2 AS a FROM (

@@ -76,8 +76,10 @@ def day_type(weekday: Column) -> Column:
 
 
 def parse_aware(text: Column) -> Column:
-    """Instant of a text with an offset or Z; null for all else."""
-    return F.when(text.rlike(HAS_OFFSET), F.try_to_timestamp(text))
+    """Instant of a text with an offset or Z; null for all else. Seconds and the offset's colon may be left out."""
+    full = F.regexp_replace(text, r"([T ]\d\d:\d\d)([zZ]|[+-]\d\d:?\d\d)$", "$1:00$2")
+    full = F.regexp_replace(full, r"([+-]\d\d)(\d\d)$", "$1:$2")
+    return F.when(text.rlike(HAS_OFFSET), full.try_cast("timestamp"))
 
 
 def parse_local(text: Column) -> Column:
