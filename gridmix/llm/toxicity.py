@@ -168,7 +168,11 @@ class Reader:
         low = text.lower()
         found = set().union(*map(self.memo.__getitem__, set(low.split())))
         for m in SPELLED.finditer(low):
-            found.update(self.memo[re.sub(r"[ ._*-]", "", m[0])])
+            joined = re.sub(r"[ ._*-]", "", m[0])
+            for a in range(3):  # words of one letter beside a spelled word
+                for b in range(2):
+                    if len(part := joined[a : len(joined) - b]) > 2:
+                        found.update(self.memo[part])
         return found
 
 

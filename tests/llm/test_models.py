@@ -23,6 +23,7 @@ def test_spelled_words_are_joined(spark):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     read = toxicity.Reader(toxicity.character_model(d), lambda f: f)
     assert {"idiot", "loser"} <= read("you i d i o t and l-o-s-e-r now")
+    assert "moron" in read("what a m o r o n y")
     assert read(None) == read("") == set()
 
 
