@@ -14,8 +14,20 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+#: Rows of an Arrow batch at most. Texts are long: Spark's 10,000 rows would be tens of MB in each of several buffers.
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Sets the session's Arrow batches to ARROW_ROWS rows unless they are smaller already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -77,8 +89,9 @@ def row_slices(offsets, most: int) -> Iterator[tuple[int, int]]:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components by alternating large-star and small-star steps: (node, root), root the least node reached.
 
-    ``edges`` has columns a and b of one orderable type. Nodes on no edge are not returned. Every round is a
-    shuffle of the remaining edges and is written to the shared folder; the sum of roots decides when to stop.
+    ``edges`` has columns a and b of one orderable type. Nodes on no edge are not returned. Every round is written to
+    the shared folder; a sum of hashes of the edges decides when to stop. The least neighbours are stored before they
+    are joined, so both sides of the joins are plain shuffles and Spark splits those of a node with very many edges.
     """
     spark = edges.sparkSession
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -86,11 +99,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         # Large star: every larger neighbour is linked to the least of the neighbourhood.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: every smaller neighbour and the node itself are linked to the least.
         large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = staged(large)
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         now = staged(small.where("a <> b").distinct())
         state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()

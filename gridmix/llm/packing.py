@@ -41,11 +41,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -53,12 +49,19 @@ class Encoder:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         self.fast = tiktoken.Encoding("same", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
-        self.full = Tokenizer.from_file(path)
+        self.path, self.full = path, None
         self.rare = re.compile("[^\x00-ſ‐-…€]").search
 
     def __call__(self, text: str) -> np.ndarray:
         if not self.rare(text):
             return np.frombuffer(self.fast.encode_to_numpy(text, allowed_special="all"), np.uint32)
+        if self.full is None:  # takes more memory than all else here, and many corpora never need it
+            import os
+
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            self.full = Tokenizer.from_file(self.path)
         return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
 
 

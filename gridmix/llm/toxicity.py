@@ -234,26 +234,46 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, rows: int = TRA
     return dict(zip(names, w[:-1].tolist())), float(w[-1])
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep: bool = False) -> DataFrame:
-    """Per document doc_id, held_out, score, predicted; with ``keep`` all columns of docs and score and predicted."""
-    model = character_model(docs)
-    weights, bias = learn(docs, labels, model, rows)
+class Scorer:
+    """Scores of batches of texts; made on the driver, with what it knows, and used in the tasks."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = Reader(model, lambda f: f if f in weights else None)
+    def __init__(self, docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS):
+        self.model = character_model(docs)
+        self.weights, self.bias = learn(docs, labels, self.model, rows)
+
+    def reader(self) -> Reader:
+        return Reader(self.model, lambda f: f if f in self.weights else None)
+
+    def scores(self, read: Reader, batch: pa.RecordBatch) -> list[float]:
+        z = [self.bias + sum(map(self.weights.__getitem__, sorted(read(t)))) for t in batch["text"].to_pylist()]
+        return [1 / (1 + math.exp(-max(-30.0, min(30.0, v)))) for v in z]
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row."""
+    scorer = Scorer(docs, labels, rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = scorer.reader()
         for batch in batches:
-            z = [bias + sum(map(weights.__getitem__, sorted(read(t)))) for t in batch["text"].to_pylist()]
-            s = pa.array([1 / (1 + math.exp(-max(-30.0, min(30.0, v)))) for v in z], pa.float64())
-            yield (batch if keep else batch.select(["doc_id"])).append_column("toxicity_score", s)
-
-    use = docs if keep else docs.select("doc_id", "text")
-    kind = (docs if keep else docs.select("doc_id")).schema
-    scored = use.mapInArrow(score, type(kind)([*kind.fields]).add("toxicity_score", "double"))
-    predicted = (F.col("toxicity_score") >= THRESHOLD).cast("int")
-    if keep:
-        return scored.withColumn("toxicity_predicted", predicted)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scorer.scores(read, batch), pa.float64())], ["doc_id", "score"])
+
+    use = docs.select("doc_id", "text")
+    scored = use.mapInArrow(run, f"doc_id {use.schema['doc_id'].dataType.simpleString()}, score double")
     held = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), F.col("toxicity_score").alias("score"), predicted.alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def clean(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows of docs, with all columns and no other, whose score is below the threshold."""
+    scorer = Scorer(docs, labels, rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = scorer.reader()
+        for batch in batches:
+            yield batch.filter(pa.array([s < THRESHOLD for s in scorer.scores(read, batch)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,8 +48,9 @@ def test_toxicity_of_odd_rows(spark, docs, empty):
     assert len(got) == docs.count() and all(0 <= r["score"] <= 1 for r in got)
     assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.5}
     assert toxicity.toxicity(empty, labels).count() == 0
-    kept = toxicity.toxicity(docs, labels, keep=True)
-    assert kept.columns == [*docs.columns, "toxicity_score", "toxicity_predicted"]
+    low = sum(r["score"] < 0.7 for r in got)
+    kept = toxicity.clean(docs.withColumn("score", docs["doc_id"]), labels)
+    assert kept.columns == [*docs.columns, "score"] and kept.count() == low
 
 
 def plain_base(rows):

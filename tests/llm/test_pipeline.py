@@ -28,7 +28,7 @@ def test_pipeline(spark):
 
 def test_stages_keep_columns_and_odd_rows(spark, docs, empty):
     for frame in (docs, empty):
-        wide = frame.withColumnRenamed("source", "toxicity").selectExpr("*", "1 AS _row1", "lang AS fp")
+        wide = frame.withColumnRenamed("source", "score").selectExpr("*", "1 AS _row", "2 AS _row0", "lang AS fp")
         out = wide
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, out, sf())
