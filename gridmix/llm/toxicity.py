@@ -189,14 +189,21 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Weights and, last, the bias of a ridge logistic regression, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25, chunk: int = 2000) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton steps; the last column of x is all ones, for the bias.
+
+    x stays in single precision; sums are made of chunks of rows in double precision.
+    """
     w, keep = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     keep[-1] = 1e-3
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag(keep), x.T @ (y - p) - keep * w)
+        curve, slope = np.diag(keep), -keep * w
+        for a in range(0, len(x), chunk):
+            part = x[a : a + chunk].astype(np.float64)
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            curve += part.T @ (part * (p * (1 - p))[:, None])
+            slope += part.T @ (y[a : a + chunk] - p)
+        step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-4:
             break
@@ -227,7 +234,8 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, rows: int = TRA
     names = [r["feature"] for r in by.orderBy(F.abs(z).desc(), "feature").limit(FEATURES).select("feature").collect()]
     place = {f: i for i, f in enumerate(names)}
     rows_found = listed(lambda f, p=frozenset(names): f if f in p else None).collect()
-    x, y = np.zeros((len(rows_found), len(names))), np.array([r["toxic"] for r in rows_found], float)
+    x, y = np.zeros((len(rows_found), len(names) + 1), np.float32), np.array([r["toxic"] for r in rows_found], float)
+    x[:, -1] = 1
     for i, r in enumerate(rows_found):
         x[i, [place[f] for f in r["found"]]] = 1
     w = fit_logistic(x, y)
