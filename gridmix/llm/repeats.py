@@ -304,12 +304,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def repeats(docs: DataFrame, most_classes: int = MOST_CLASSES) -> DataFrame:
     """doc_id, text and spans (maximal removed runs of bytes, as array<struct<a,b>>) of every row."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id())
-    lines = find_stretches(rows).repartition("anchor")
-    from pyspark.sql import Window as W
-
-    own = W.partitionBy("anchor")
-    seen = lines.withColumns({"total": F.sum("n").over(own), "one": F.min("class").over(own) == F.max("class").over(own)})
-    twice = staged(seen.where("total > 1").drop("total", "n"), ["anchor", "class", "size", "row", "at", "more", "one"])
+    lines = find_stretches(rows)
+    # Pre-aggregated and stored first: the join then has a plain shuffle on both sides, of which Spark splits hot keys.
+    keys = lines.groupBy("anchor").agg(F.sum("n").alias("total"), (F.min("class") == F.max("class")).alias("one"))
+    keys = staged(keys.where("total > 1").select("anchor", "one"))
+    twice = staged(lines.join(keys, "anchor").select("anchor", "class", "size", "row", "at", "more", "one"))
     n = F.lit(1) + F.coalesce(F.octet_length("more") / 16, F.lit(0)).cast("long")
     least = F.min(F.struct("row", "at", "size")).alias("p")
     classes = twice.where("not one").groupBy("anchor", "class").agg(F.sum(n).alias("n"), least).select("anchor", "class", "n", "p.row", "p.at", "p.size")
