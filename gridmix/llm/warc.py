@@ -50,6 +50,7 @@ def with_roles(pages: DataFrame, least: int = LEAST) -> DataFrame:
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha1("payload")})
     twice = rows.where(F.col("size") >= least).groupBy("digest").agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = staged(twice)  # so that both sides of the join are plain shuffles, of which Spark splits hot keys
     revisit = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept"))
     return rows.join(twice, "digest", "left").select(
         "page_id", "url", "payload", "size", "digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("kept")).alias("refers_to"),
