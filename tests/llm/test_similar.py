@@ -47,7 +47,7 @@ def edited_rows():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("small", [similar.SMALL, 2])
+@pytest.mark.parametrize("small", [similar.SMALL, 16])
 def test_all_near_copies_are_found(spark, small):
     for rows in (edited_rows(), [r for r in near_rows() if r[0] is not None]):
         df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
