@@ -16,7 +16,7 @@ Anchors with more than ``MOST_CLASSES`` different stretches are counted by windo
 
 Defined results: null and empty texts have no bytes and nothing to remove; texts shorter than LENGTH are never cut;
 repeated rows remove each other; texts of any length are read in overlapping pieces; an empty table gives an empty
-result; only doc_id and text are read. The input must give the same rows when read again (a stored table does).
+result; only doc_id and text are read. The input is read once; its rows are stored with their numbers.
 """
 
 from __future__ import annotations
@@ -303,7 +303,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def repeats(docs: DataFrame, most_classes: int = MOST_CLASSES) -> DataFrame:
     """doc_id, text and spans (maximal removed runs of bytes, as array<struct<a,b>>) of every row."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id())
+    # Read in several jobs: the numbers of a scan hold only for its splits, so they are stored.
+    rows = staged(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id()))
     lines = find_stretches(rows)
     # Pre-aggregated and stored first: the join then has a plain shuffle on both sides, of which Spark splits hot keys.
     keys = lines.groupBy("anchor").agg(F.sum("n").alias("total"), (F.min("class") == F.max("class")).alias("one"))

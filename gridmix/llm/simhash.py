@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, hot: int = HOT) -> DataFrame:
 def keep_one(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """One row of each component stays, that with the least doc_id; all columns are kept."""
     name = next(n for n in (f"_row{i}" for i in range(len(docs.columns) + 1)) if n not in map(str.lower, docs.columns))
-    numbered = docs.withColumn(name, F.monotonically_increasing_id())
+    numbered = staged(docs.withColumn(name, F.monotonically_increasing_id()))  # read twice: the numbers are stored
     rows = staged(fingerprints(numbered.select("doc_id", "text", F.col(name).alias("_row"))).withColumn("no_id", F.col("doc_id").isNull()))
     found = with_components(rows, ["no_id", "doc_id", "_row"], hot)
     stay = found.where(F.col("_row") == F.col("least._row")).select(F.col("_row").alias(name))
