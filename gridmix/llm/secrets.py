@@ -2,8 +2,8 @@
 
 Text in a language needs few tokens: a vocabulary learnt from text covers several characters with each token. A
 random string has no such tokens, so its characters per token are low. Candidates are long runs of letters, digits
-and base64 punctuation; known digests (hexadecimal of a digest's length), UUIDs, plain numbers, plain words and
-identifiers made of words are excluded before the ratio is taken.
+and base64 punctuation; known digests (hexadecimal of a digest's length), UUIDs and identifiers made of words (parts in
+camel, snake or kebab case that take few tokens) are excluded before the ratio is taken.
 
 Defined results: null and empty texts have no secrets; texts are scanned whole; spans are in code points, end
 exclusive; repeated rows give repeated results; an empty table gives an empty result; only doc_id and text are read.
@@ -35,6 +35,9 @@ KEYWORDS = ("passw", "secret", "token", "api_key", "apikey")
 DIGEST = re.compile(r"(?i:[0-9a-f]{16}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
 UUID = re.compile(r"(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})")
 WORDY = re.compile(r"[A-Za-z]*[0-9]{0,6}")
+HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Letters per token from which the parts of a run are words. (The two-letter humps of random mixed case are below.)
+WORD_RATIO = 3.0
 #: Characters per token below which a candidate counts as random.
 RATIO = 2.0
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -56,9 +59,15 @@ def encoding(path: str):
     return _encodings[path]
 
 
-def is_known(run: str) -> bool:
-    """A digest, a UUID, or an identifier: parts between punctuation that are words with at most a number behind."""
-    return bool(DIGEST.fullmatch(run) or UUID.fullmatch(run) or all(WORDY.fullmatch(p) for p in re.split(r"[+/_=-]+", run)))
+def is_known(run: str, enc) -> bool:
+    """A digest, a UUID, or an identifier: parts between punctuation and at capitals that are words, by their letters
+    per token, with at most a number behind."""
+    if DIGEST.fullmatch(run) or UUID.fullmatch(run):
+        return True
+    if not all(WORDY.fullmatch(p) for p in re.split(r"[+/_=-]+", run)):
+        return False
+    humps = HUMP.findall(run)
+    return sum(map(len, humps)) >= WORD_RATIO * sum(len(enc.encode_ordinary(h)) for h in humps)
 
 
 def spans(text: str, enc, ratio: float = RATIO) -> list[tuple[int, int, int]]:
@@ -72,7 +81,7 @@ def spans(text: str, enc, ratio: float = RATIO) -> list[tuple[int, int, int]]:
     out += [(m.start(), 2, m.end()) for m in LONG_HEX.finditer(text)]
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if not any(s < b and a < e for s, _, e in out) and not is_known(m[0]) and len(m[0]) < ratio * len(enc.encode_ordinary(m[0])):
+        if not any(s < b and a < e for s, _, e in out) and not is_known(m[0], enc) and len(m[0]) < ratio * len(enc.encode_ordinary(m[0])):
             out.append((a, 3, b))
     return sorted(out)
 
