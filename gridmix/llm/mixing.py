@@ -1,19 +1,23 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
-A text is coded byte by byte, with an end symbol, each byte as the bits of a prefix code built from the byte counts
-of the training texts. For every bit, each context (the last two bytes, the last four, the word so far) looks up, in
-a hashed table of fixed size, how often the bit was 0 and 1 after it in the training texts. The log odds are mixed
-by weights that a gate (the bit's depth in the code) selects, and squashed. The weights start alike for every text
-and are refined online, block after block of the text, by the gradient of the coding cost. The score is minus the
-total cost in bits, as a log10 probability.
-
-Training counts cover all texts whose crc32(doc_id as text) modulo 10 is not 0. They are added up in the tasks and
-then by table chunk, in a stream; the driver receives the finished tables, whose size is fixed (``TABLE_BITS``).
-The base score is a unigram model over words: counts are grouped over all training texts; the ``COMMON`` most
-frequent words are sent to the tasks, the counts of all others are joined by word.
+A text is coded byte by byte, with an end symbol. After each byte stands a prefix code of its own, built from the byte
+pairs of the training texts, so a byte is a few bits, about as many as its order-1 entropy. For every bit, each context
+(the last two bytes, the last four, the word so far) looks up, in a hashed table, how often the bit was 0 and 1 after it
+in the training texts. The log odds are mixed by weights that a gate selects (the bit's depth in the code, and how sure
+the four-byte context is), and squashed. The weights start from what the training texts teach and are refined online,
+block after block of a text, by the gradient of the coding cost. The score is minus the total cost in bits, as a log10
+probability.
+
+Training counts cover all texts whose crc32(doc_id as text) modulo 10 is not 0. Starting weights are fitted on a share
+of them, one in ``TUNING`` by a hash of the id, under the counts of all others: Newton steps on sums over that share,
+so they don't depend on partitions. Then the share's own counts are added. Tables grow with the training bytes up to
+``MOST_BITS``; the driver receives them finished, and sends them to the tasks. The base score is a unigram model over
+words: counts are grouped over all training texts; the ``COMMON`` most frequent words are sent to the tasks, the counts
+of all others are joined by word.
 
 Defined results: null and empty texts have one token, the end; a null doc_id counts as training (its remainder is not
-0); repeated rows count as often as they occur; an empty table gives an empty result; no training texts at all give
+0); repeated rows count as often as they occur; a text of more than ``PIECE`` bytes is coded in pieces of that many,
+each with contexts and weights of its own; an empty table gives an empty result; no training texts at all give
 c = N = V = 0 and even odds for every bit; only doc_id and text are read.
 """
 
@@ -31,78 +35,127 @@ from pyspark.sql import functions as F
 from gridmix.llm.common import row_slices, staged, table, text_bytes
 
 FOLDS, HELD_OUT = 10, 0
-#: Slots of each context's table, as a power of two; one byte each where they are used.
-TABLE_BITS = (19, 20, 21)
+#: One training text in so many teaches the starting weights.
+TUNING = 64
+#: A context's table has 2**b slots: the training bytes as a power of two, less this, within these bounds.
+LESS_BITS, LEAST_BITS, MOST_BITS = (8, 6, 6), (16, 18, 18), (20, 22, 22)
 CHUNK = 1 << 12
 END = 256
+ALPHABET = END + 1
 #: Words sent to every task with their counts.
 COMMON = 100_000
-#: Bytes after which the weights of a text are refined, their start, and the step.
-BLOCK, START, STEP = 512, 0.45, 0.005
+#: The weights of a text are refined after FIRST bytes, twice that, and so on, and from BLOCK bytes on after every BLOCK.
+FIRST, BLOCK = 64, 1024
+#: The weights' start where nothing was learnt, and the step of a refinement.
+START, STEP = 0.45, 0.0008
+ROUNDS, RIDGE = 4, 1e-3
 SCALE = 12.0
 SPREAD = np.uint32(0x2C1B3C6D)
-SLICE = 1 << 20
-GATES = 8
+#: Bytes worked on at once (so that arrays stay in the processor's cache), and the most that one text may bring.
+SLICE, PIECE = 96 << 10, 256 << 10
+DEPTHS = 4
+#: Log odds, in steps of 1 / SCALE, from which the four-byte context counts as weak, fair, sure.
+SURE = (3, 20, 48)
+GATES = DEPTHS * (len(SURE) + 1)
+GATE_OF = np.array([sum(min(o, 256 - o) >= s for s in SURE) for o in range(256)], np.int64)  # by odds modulo 256
+FOUR = 1  # the place of the four-byte context among the contexts
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == HELD_OUT, F.lit(False))
 
 
+def code_paths(weights: list[float]) -> list[list[tuple[int, int]]]:
+    """Huffman: for each symbol its (inner node, bit) pairs from the root."""
+    heap = [(w, s) for s, w in enumerate(weights)]
+    heapq.heapify(heap)
+    children: dict[int, tuple[int, int]] = {}
+    node = len(weights)
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        children[node] = (a[1], b[1])
+        heapq.heappush(heap, (a[0] + b[0], node))
+        node += 1
+    paths: list[list[tuple[int, int]]] = [[]] * len(weights)
+    stack: list[tuple[int, list]] = [(node - 1, [])]
+    while stack:
+        at, path = stack.pop()
+        if at in children:
+            stack += [(to, [*path, (at - len(weights), bit)]) for bit, to in enumerate(children[at])]
+        else:
+            paths[at] = path
+    return paths
+
+
 class Code:
-    """A prefix code over bytes and the end symbol, flattened: the bits of a symbol are entries first..first+size."""
-
-    def __init__(self, counts: np.ndarray):
-        heap = [(int(c) + 1, s, s) for s, c in enumerate(counts)]
-        heapq.heapify(heap)
-        children: dict[int, tuple[int, int]] = {}
-        node = len(counts)
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            children[node] = (a[2], b[2])
-            heapq.heappush(heap, (a[0] + b[0], node, node))
-            node += 1
-        paths: dict[int, list[tuple[int, int]]] = {}
-        stack: list[tuple[int, list]] = [(node - 1, [])]
-        while stack:
-            at, path = stack.pop()
-            if at in children:
-                stack += [(to, [*path, (at - len(counts), bit)]) for bit, to in enumerate(children[at])]
-            else:
-                paths[at] = path
-        self.size = np.array([len(paths[s]) for s in range(len(counts))], np.int64)
+    """A prefix code after each symbol, flattened: the bits of symbol s after p are entries first..first+size at p * ALPHABET + s.
+
+    ``pairs`` counts symbols by the symbol before them. Symbols before which nothing was counted share one code.
+    """
+
+    def __init__(self, pairs: np.ndarray):
+        pairs = np.asarray(pairs, float).reshape(ALPHABET, ALPHABET)
+        prior = (pairs.sum(0) + 1) / (pairs.sum() + ALPHABET)
+        size, nodes, bits, depth, first = [], [], [], [], np.zeros(ALPHABET, np.int64)
+        known = np.flatnonzero(pairs.any(1))
+        for k, p in enumerate([-1, *known]):
+            paths = code_paths((prior if p < 0 else pairs[p] + prior).tolist())
+            first[p if p >= 0 else slice(None)] = k
+            size += map(len, paths)
+            flat = [x for path in paths for x in path]
+            nodes += [k * ALPHABET + n for n, _ in flat]
+            bits += [b for _, b in flat]
+            depth += [min(d, DEPTHS - 1) for path in paths for d in range(len(path))]
+        self.row = first * ALPHABET  # of each symbol before
+        self.size = np.array(size, np.int64)
         self.first = np.cumsum(self.size) - self.size
-        flat = [(n, bit, min(d, GATES - 1)) for s in range(len(counts)) for d, (n, bit) in enumerate(paths[s])]
-        nodes = np.array([x[0] for x in flat], np.uint32)
-        salt = (nodes + np.uint32(1)) * np.uint32(0x9E3779B1)
-        self.salt = (salt ^ salt >> np.uint32(15)) * SPREAD
-        self.bit = np.array([x[1] for x in flat], np.uint32)
-        self.sign = self.bit.astype(np.float32) * 2 - 1
-        self.gate = np.array([x[2] for x in flat], np.int64)
-
-    def entries(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        salt = (np.array(nodes, np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+        salt = (salt ^ salt >> np.uint32(15)) * SPREAD
+        # One number an entry, so that one look-up serves: the node's salt, the depth's first gate, the bit.
+        self.packed = salt.astype(np.int64) << 8 | np.array(depth) * (GATES // DEPTHS) << 1 | np.array(bits)
+
+    def unpacked(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Salts, first gates and bits of entries."""
+        x = self.packed.take(entry)
+        return (x >> 8).astype(np.uint32), x >> 1 & 127, x & 1
+
+    def entries(self, before: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position of the symbol, entry) for every bit of these symbols, in order."""
-        size = self.size[symbols]
+        code = self.row.take(before)
+        code += symbols
+        size = self.size.take(code)
         at = np.repeat(np.arange(len(symbols)), size)  # indices stay 64 bits wide: numpy widens all others at each use
-        shift = self.first[symbols] - (np.cumsum(size) - size)
+        shift = self.first.take(code) - (np.cumsum(size) - size)
         entry = shift.take(at)
         entry += np.arange(len(at))
         return at, entry
 
 
-def symbols_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the rows with an end symbol behind each row, and the rows' new offsets."""
-    n = len(offsets) - 1
-    out = np.full(len(raw) + n, END, np.int16)
+def text_pieces(raw: np.ndarray, offsets: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of each piece, bytes, offsets, whether the text ends there) of slices. Only texts of more than PIECE bytes have several pieces."""
+    for a, b in row_slices(offsets, most or SLICE):
+        own, size = raw[offsets[a] : offsets[b]], int(offsets[b] - offsets[a])
+        if b - a > 1 or size <= PIECE:
+            yield np.arange(a, b), own, offsets[a : b + 1] - offsets[a], np.ones(b - a, bool)
+            continue
+        for at in range(0, size, PIECE):
+            part = own[at : at + PIECE]
+            yield np.array([a]), part, np.array([0, len(part)]), np.array([at + PIECE >= size])
+
+
+def symbols_of(raw: np.ndarray, offsets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the pieces with an end symbol where a text ends, and the pieces' new offsets."""
+    added = np.append(0, np.cumsum(ends))
+    out = np.full(len(raw) + added[-1], END, np.int64)
     fill = np.ones(len(out), bool)
-    ends = offsets[1:] + np.arange(n)
-    fill[ends] = False
+    fill[(offsets[1:] + added[:-1])[ends]] = False
     out[fill] = raw
-    return out, offsets + np.arange(n + 1)
+    return out, offsets + added
 
 
-def contexts(symbols: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """A 32-bit hash of each context at each position, spread like the salts of a code. Before its first symbol a row has end symbols."""
+def contexts(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The symbol before each position, and a 32-bit hash of each context there, spread like the salts of a code.
+    Before its first symbol a piece has end symbols."""
     s = symbols.astype(np.uint32)
 
     def before(j: int) -> np.ndarray:
@@ -116,14 +169,16 @@ def contexts(symbols: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     b1, b2, b3, b4 = (before(j) for j in (1, 2, 3, 4))
     two = (b1 * np.uint32(257) + b2) * np.uint32(0x85EBCA6B)
     four = (two ^ (b3 * np.uint32(257) + b4) * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F)
-    # The word so far: prefix sums of powers from the last blank or end symbol on.
+    # The word so far: prefix sums of powers from the last blank, end symbol or piece's start on.
     blank = (s <= 32) | (s == END)
     up, down = _powers(len(s) + 1)
     sums = np.concatenate([np.zeros(1, np.uint32), np.cumsum((s + np.uint32(1)) * up[: len(s)], dtype=np.uint32)])
     at = np.arange(len(s))
-    start = np.maximum.accumulate(np.where(np.concatenate([[True], blank[:-1]]), at, 0))
+    head = np.concatenate([[True], blank[:-1]])
+    head[offsets[:-1][offsets[:-1] < len(s)]] = True
+    start = np.maximum.accumulate(np.where(head, at, 0))
     word = (sums[at] - sums[start]) * down[start] + np.uint32(0x165667B1)
-    return [(h ^ h >> np.uint32(13)) * SPREAD for h in (two, four, word * np.uint32(0x85EBCA77))]
+    return b1.astype(np.int64), [(h ^ h >> np.uint32(13)) * SPREAD for h in (two, four, word * np.uint32(0x85EBCA77))]
 
 
 _cache: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -146,22 +201,26 @@ def slot(context: np.ndarray, at: np.ndarray, salt: np.ndarray, bits: int) -> np
 
 
 def first_pass(train: DataFrame) -> DataFrame:
-    """(word, byte, n): counts of words (byte null; the end token is the word that is empty) and of bytes."""
+    """(word, pair, n): counts of words (pair null; the end token is the word that is empty) and of symbol pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        total = np.zeros(END + 1, np.int64)
+        pairs = np.zeros(ALPHABET * ALPHABET, np.int64)
+        names = ["word", "pair", "n"]
 
         def out() -> pa.RecordBatch:
             n = len(words)
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array([None] * n, pa.int32()), pa.array(list(words.values()), pa.int64())], ["word", "byte", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.nulls(n, pa.int32()), pa.array(list(words.values()), pa.int64())], names)
 
         for batch in batches:
             raw, offsets = text_bytes(batch["text"])
-            total[:END] += np.bincount(raw, minlength=END)
-            total[END] += batch.num_rows
+            for _, part, at, ends in text_pieces(raw, offsets, 1 << 20):
+                symbols, own = symbols_of(part, at, ends)
+                before = np.append(END, symbols[:-1])
+                before[own[:-1][own[:-1] < len(symbols)]] = END
+                pairs += np.bincount(before * ALPHABET + symbols, minlength=len(pairs))
             words[b""] += batch.num_rows
-            for a, b in row_slices(offsets, SLICE):
+            for a, b in row_slices(offsets, 1 << 20):
                 piece = batch["text"].slice(a, b - a).cast(pa.binary()).to_pylist()
                 words.update(b"\n".join(t or b"" for t in piece).lower().split())
                 if len(words) > 500_000:
@@ -169,101 +228,218 @@ def first_pass(train: DataFrame) -> DataFrame:
                     words.clear()
         if words:
             yield out()
-            yield pa.RecordBatch.from_arrays([pa.nulls(END + 1, pa.binary()), pa.array(range(END + 1), pa.int32()), pa.array(total)], ["word", "byte", "n"])
+            used = np.flatnonzero(pairs)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), pa.array(pairs[used])], names)
+
+    return train.select("text").mapInArrow(run, "word binary, pair int, n long").groupBy("word", "pair").agg(F.sum("n").alias("n"))
+
+
+def table_bits(n_bytes: int) -> tuple[int, ...]:
+    """Sizes of the tables for so many training bytes, as powers of two."""
+    grown = max(n_bytes, 1).bit_length()
+    return tuple(min(most, max(least, grown - less)) for less, least, most in zip(LESS_BITS, LEAST_BITS, MOST_BITS))
+
 
-    return train.select("text").mapInArrow(run, "word binary, byte int, n long").groupBy("word", "byte").agg(F.sum("n").alias("n"))
+def log_odds(counts: np.ndarray) -> np.ndarray:
+    """Log odds of pairs (zeros, ones) in steps of 1 / SCALE, as int8."""
+    n = counts.reshape(-1, 2).astype(np.float64)
+    return np.clip(np.rint(np.log((n[:, 1] + 0.35) / (n[:, 0] + 0.35)) * SCALE), -127, 127).astype(np.int8)
 
 
-def context_tables(train: DataFrame, code: Code, table_bits: tuple[int, ...] = TABLE_BITS) -> list[np.ndarray]:
-    """For each context its table of log odds in steps of 1 / SCALE, as int8."""
+def context_tables(main: DataFrame, tuning: DataFrame, code: Code, bits: tuple[int, ...]) -> list[list[np.ndarray]]:
+    """For each context its table of log odds, from the main texts alone and from all."""
     import zstandard
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = [np.zeros(2 << b, np.int32) for b in table_bits]
-        some = False
-        for batch in batches:
-            raw, offsets = text_bytes(batch["text"])
-            some |= batch.num_rows > 0
-            for a, b in row_slices(offsets, SLICE // 4):
-                symbols, ends = symbols_of(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                hashes = contexts(symbols, ends)
-                at, entry = code.entries(symbols)
-                salt, bit = code.salt.take(entry), code.bit.take(entry)
-                for t, h, bits in zip(total, hashes, table_bits):
-                    where = slot(h, at, salt, bits)
-                    where <<= 1
-                    where |= bit
-                    np.add.at(t, where, np.int32(1))
-        if some:
+    code_sent = main.sparkSession.sparkContext.broadcast(code)
+
+    def count(part: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own_code = code_sent.value
+            total = [np.zeros(2 << b, np.int32) for b in bits]
+            for batch in batches:
+                raw, offsets = text_bytes(batch["text"])
+                for _, own, at, ends in text_pieces(raw, offsets):
+                    symbols, starts = symbols_of(own, at, ends)
+                    before, hashes = contexts(symbols, starts)
+                    where, entry = own_code.entries(before, symbols)
+                    salt, _, bit = own_code.unpacked(entry)
+                    for t, h, b in zip(total, hashes, bits):
+                        place = slot(h, where, salt, b)
+                        place <<= 1
+                        place |= bit
+                        np.add.at(t, place, np.int32(1))
             squeeze = zstandard.ZstdCompressor(level=1).compress
             for k, t in enumerate(total):
                 parts = t.reshape(-1, 2 * CHUNK)
                 used = np.flatnonzero(parts.any(1))
-                yield pa.RecordBatch.from_arrays([pa.array(used + (k << 24)), pa.array([squeeze(parts[c].tobytes()) for c in used], pa.binary())], ["chunk", "counts"])
+                if len(used):
+                    yield pa.RecordBatch.from_arrays([pa.array(used + (k << 24)), pa.array([part] * len(used), pa.int32()), pa.array([squeeze(parts[c].tobytes()) for c in used], pa.binary())], ["chunk", "part", "counts"])
+
+        return run
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}  # this task's chunks, a fixed number
+        totals: list[dict[int, np.ndarray]] = [{}, {}]  # this task's chunks, a fixed number
         open_ = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for chunk, counts in zip(batch["chunk"].to_pylist(), batch["counts"].to_pylist()):
-                own = np.frombuffer(open_(counts), np.int32)
+            for chunk, part, counts in zip(*(batch[c].to_pylist() for c in ("chunk", "part", "counts"))):
+                own, total = np.frombuffer(open_(counts), np.int32), totals[part]
                 total[chunk] = total[chunk] + own if chunk in total else own.astype(np.int64)
-        out = []
-        for t in total.values():
-            n = t.reshape(-1, 2).astype(np.float64)
-            odds = np.log((n[:, 1] + 0.35) / (n[:, 0] + 0.35))
-            out.append(np.clip(np.rint(odds * SCALE), -127, 127).astype(np.int8).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(out, pa.binary())], ["chunk", "odds"])
-
-    parts = train.select("text").mapInArrow(count, "chunk long, counts binary").repartition("chunk").mapInArrow(add, "chunk long, odds binary")
-    out = [np.zeros(1 << b, np.int8) for b in table_bits]
-    for chunk, odds in parts.collect():  # the finished tables: sum(2**b for b in table_bits) bytes
+        chunks = sorted(totals[0].keys() | totals[1].keys())
+        zero = np.zeros(2 * CHUNK, np.int64)
+        alone = [log_odds(totals[0].get(c, zero)).tobytes() for c in chunks]
+        both = [log_odds(totals[0].get(c, zero) + totals[1].get(c, zero)).tobytes() for c in chunks]
+        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(alone, pa.binary()), pa.array(both, pa.binary())], ["chunk", "alone", "both"])
+
+    kind = "chunk long, part int, counts binary"
+    counted = main.select("text").mapInArrow(count(0), kind).unionByName(tuning.select("text").mapInArrow(count(1), kind))
+    out = [[np.zeros(1 << b, np.int8) for b in bits] for _ in range(2)]
+    done = counted.repartition("chunk").mapInArrow(add, "chunk long, alone binary, both binary")
+    for chunk, *odds in done.collect():  # the finished tables, twice: 2 * sum(2**b for b in bits) bytes
         a = (chunk & 0xFFFFFF) * CHUNK
-        out[chunk >> 24][a : a + CHUNK] = np.frombuffer(odds, np.int8)
+        for tables, own in zip(out, odds):
+            tables[chunk >> 24][a : a + CHUNK] = np.frombuffer(own, np.int8)
     return out
 
 
+def block_edges(n: int) -> np.ndarray:
+    """The first n block limits in a text: 0, FIRST, twice that and so on to BLOCK, then every BLOCK."""
+    edges = [0, *(FIRST << i for i in range((BLOCK // FIRST).bit_length()))]
+    return np.array((edges + list(range(2 * BLOCK, (n + 1) * BLOCK, BLOCK)))[:n], np.int64)
+
+
+def block_of(place: np.ndarray) -> np.ndarray:
+    """The number of the block that a place of a text lies in."""
+    small = block_edges((BLOCK // FIRST).bit_length() + 1)
+    return np.where(place < BLOCK, np.searchsorted(small, place, side="right") - 1, len(small) - 2 + place // BLOCK).astype(np.int16)
+
+
+def start_weights() -> np.ndarray:
+    """Weights by (context, gate) where nothing was learnt."""
+    return np.full((len(MOST_BITS), GATES), START / SCALE)
+
+
 class Mixer:
-    """Scores texts under a code and its context tables."""
+    """Scores texts under a code, its context tables, and starting weights by (context, gate)."""
 
-    def __init__(self, code: Code, tables: list[np.ndarray]):
-        self.code, self.tables = code, tables
+    def __init__(self, code: Code, tables: list[np.ndarray], weights: np.ndarray):
+        self.code, self.tables, self.weights = code, tables, weights.astype(np.float32)
         self.bits = [len(t).bit_length() - 1 for t in tables]
 
-    def cost(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Cost in nats of each row. The first blocks of all rows are coded together, then their second blocks..."""
-        symbols, ends = symbols_of(raw, offsets)
-        n = len(ends) - 1
-        hashes = contexts(symbols, ends)
+    def bits_of(self, symbols: np.ndarray, offsets: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """(symbol's place in order, gate, log odds by context towards the bit that comes, their mix) of every bit of the symbols in an order."""
+        before, hashes = contexts(symbols, offsets)
+        before, symbols = before.take(order), symbols.take(order)
+        at, entry = self.code.entries(before, symbols)
+        salt, first, bit = self.code.unpacked(entry)
+        sign = (2 * bit - 1).astype(np.float32)
+        seen = [t.take(slot(h.take(order), at, salt, b)) for t, h, b in zip(self.tables, hashes, self.bits)]
+        gate = GATE_OF.take(seen[FOUR].view(np.uint8).astype(np.int64))
+        gate += first
+        odds, z = [], np.zeros(len(at), np.float32)
+        for o, w in zip(seen, self.weights):
+            o = o * sign
+            z += o * w.take(gate)
+            odds.append(o)
+        return at, gate, odds, z
+
+    def cost(self, raw: np.ndarray, offsets: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
+        """Cost in nats of each piece. The first blocks of all pieces are coded together, then their second blocks..., longer pieces first."""
+        n = len(offsets) - 1
+        symbols, starts = symbols_of(raw, offsets, np.ones(n, bool) if ends is None else ends)
+        size = np.diff(starts)
+        if not len(symbols):
+            return np.zeros(n)
+        rank = np.argsort(-size, kind="stable")
+        size = size[rank]
+        first = np.cumsum(size) - size
+        place = np.arange(len(symbols)) - np.repeat(first, size)
+        block = block_of(place)
+        turn = np.argsort(block, kind="stable")
+        order = (np.repeat(starts[rank], size) + place)[turn]
+        at, _, odds, z = self.bits_of(symbols, starts, order)
+        edges = block_edges(int(block[size[0] - 1]) + 2)
+        lengths = np.minimum(size[:, None], edges[1:]) - np.minimum(size[:, None], edges[:-1])  # of each piece in each block
+        cuts = np.searchsorted(at, np.append(0, np.cumsum(lengths.T.reshape(-1)))).reshape(-1)
+        more = np.zeros((len(odds), n), np.float32)
         total = np.zeros(n)
-        weights = np.full((len(self.tables), n * GATES), START / SCALE, np.float32)
-        size = np.diff(ends)
-        for start in range(0, int(size.max(initial=0)), BLOCK):
-            rows = np.flatnonzero(size > start)
-            own = np.minimum(size[rows] - start, BLOCK)
-            shift = ends[rows] + start - (np.cumsum(own) - own)
-            where = np.arange(own.sum()) + np.repeat(shift, own)
-            at, entry = self.code.entries(symbols[where])
-            which = (np.repeat(rows, own) * GATES).take(at)
-            which += self.code.gate.take(entry)
-            salt, sign = self.code.salt.take(entry), self.code.sign.take(entry)
-            seen, z = [], np.zeros(len(entry), np.float32)
-            for h, t, bits, w in zip(hashes, self.tables, self.bits, weights):
-                odds = t.take(slot(h.take(where), at, salt, bits)).astype(np.float32)  # in steps of 1 / SCALE
-                seen.append(odds)
-                z += odds * w.take(which)
-            # Cost of the bit: log(1 + exp(-z)) for a 1, log(1 + exp(z)) for a 0.
-            z *= sign
-            np.clip(z, -30, 30, out=z)
-            e = np.exp(-z)
+        for k in range(lengths.shape[1]):
+            here = int((lengths[:, k] > 0).sum())
+            mark = cuts[k * n : k * n + here + 1]
+            a, b = mark[0], mark[-1]
+            own = z[a:b]
+            if k:
+                count = np.diff(mark)
+                for o, m in zip(odds, more):
+                    own += o[a:b] * np.repeat(m[:here], count)
+            np.clip(own, -30, 30, out=own)
+            e = np.exp(-own)  # the bit costs log(1 + e)
             e1 = e + np.float32(1)
-            total[rows] += np.add.reduceat(np.log(e1), np.searchsorted(at, np.cumsum(own) - own))
-            if (size > start + BLOCK).any():
-                error = e / e1 * sign
-                for w, odds in zip(weights, seen):
-                    w += np.float32(STEP / SCALE**2) * np.bincount(which, weights=error * odds, minlength=len(w)).astype(np.float32)
-                np.clip(weights, -0.2 / SCALE, 1.5 / SCALE, out=weights)
-        return total
+            if k + 1 < lengths.shape[1]:
+                on = int((lengths[:, k + 1] > 0).sum())  # the others are done
+                c = mark[on] - a
+                error = e[:c] / e1[:c]
+                for o, m in zip(odds, more):
+                    m[:on] += np.float32(STEP / SCALE**2) * np.add.reduceat(error * o[a : a + c], mark[:on] - a)
+            total[:here] += np.add.reduceat(np.log(e1, out=e1), mark[:-1] - a)
+        out = np.zeros(n)
+        out[rank] = total
+        return out
+
+    def costs(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Cost in nats of each row, however long."""
+        out = np.zeros(len(offsets) - 1)
+        for rows, own, at, ends in text_pieces(raw, offsets):
+            np.add.at(out, rows, self.cost(own, at, ends))
+        return out
+
+
+def curves(mixer: Mixer, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Of the coding cost of some rows, by gate: slope, curvature and the number of bits, as one row of numbers each."""
+    k = len(mixer.tables)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    out = np.zeros((GATES, k + len(pairs) + 1))
+    for _, own, at, ends in text_pieces(raw, offsets):
+        symbols, starts = symbols_of(own, at, ends)
+        _, gate, odds, z = mixer.bits_of(symbols, starts, np.arange(len(symbols)))
+        p = 1 / (1 + np.exp(np.clip(z, -30, 30)))  # of the wrong bit
+        rows = [*(p * o for o in odds), *(p * (1 - p) * odds[i] * odds[j] for i, j in pairs), np.ones(len(p))]
+        out += np.stack([np.bincount(gate, weights=r, minlength=GATES) for r in rows], 1)
+    return out
+
+
+def newton(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """One step for the weights of every gate, held near where they are by a small ridge."""
+    k = len(weights)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    out = weights.copy()
+    for g in range(GATES):
+        curve = np.eye(k) * (RIDGE * sums[g, -1] + 1)
+        for (i, j), v in zip(pairs, sums[g, k:-1]):
+            curve[i, j] += v
+            curve[j, i] = curve[i, j]
+        out[:, g] += np.clip(np.linalg.solve(curve, sums[g, :k]), -0.5 / SCALE, 0.5 / SCALE)
+    return out
+
+
+def learnt_weights(tuning: DataFrame, code: Code, tables: list[np.ndarray]) -> np.ndarray:
+    """Starting weights that make the tuning texts cheap to code under tables that don't count them."""
+    sent = tuning.sparkSession.sparkContext.broadcast((code, tables))
+    weights = start_weights()
+    for _ in range(ROUNDS):
+
+        def run(batches: Iterator[pa.RecordBatch], now: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
+            mixer, total = Mixer(*sent.value, now), None
+            for batch in batches:
+                own = curves(mixer, *text_bytes(batch["text"]))
+                total = own if total is None else total + own
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(range(total.size), pa.int32()), pa.array(total.reshape(-1))], ["at", "s"])
+
+        sums = np.zeros(GATES * (2 * len(tables) + len(tables) * (len(tables) - 1) // 2 + 1))
+        for at, s in tuning.select("text").mapInArrow(run, "at int, s double").groupBy("at").agg(F.sum("s")).collect():  # len(sums) rows
+            sums[at] = s
+        weights = newton(weights, sums.reshape(GATES, -1))
+    return weights
 
 
 def frequent(words: DataFrame, most: int) -> DataFrame:
@@ -282,44 +458,51 @@ def log10p(c: np.ndarray, n: int, v: int) -> np.ndarray:
     return np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
 
 
+class Worth(dict):
+    """What a common word adds to the base score; all others add nothing here and are counted in ``rare``."""
+
+    rare: dict[bytes, int]
+
+    def __missing__(self, word: bytes) -> float:
+        self.rare[word] = self.rare.get(word, 0) + 1
+        return 0.0
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     docs = docs.select("doc_id", "text")
     train = docs.where(~held_out(F.col("doc_id")))
     counts = staged(first_pass(train))
-    of_bytes = np.zeros(END + 1, np.int64)
-    for byte, n in counts.where("byte IS NOT NULL").select("byte", "n").collect():  # 257 rows
-        of_bytes[byte] = n
+    pairs = np.zeros(ALPHABET * ALPHABET, np.int64)
+    for pair, n in counts.where("pair IS NOT NULL").select("pair", "n").collect():  # 257 * 257 rows at most
+        pairs[pair] = n
     words = counts.where("word IS NOT NULL").select("word", "n")
     size = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, v_all = size["n"] or 0, size["v"]
     ends = words.where(F.octet_length("word") == 0).agg(F.sum("n")).first()[0] or 0
     common = {bytes(r["word"]): r["n"] for r in frequent(words, COMMON).collect()}  # COMMON rows at most
-    code = Code(of_bytes)
-    tables = context_tables(train, code)
+    code = Code(pairs)
+    teaches = F.pmod(F.xxhash64("doc_id"), F.lit(TUNING)) == 0
+    tuning = staged(train.where(teaches))
+    alone, tables = context_tables(train.where(~teaches), tuning, code, table_bits(int(pairs.sum())))
+    weights = learnt_weights(tuning, code, alone)
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((common, code, tables))
+    sent = spark.sparkContext.broadcast((common, code, tables, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own_code, own_tables = sent.value
-        mixer = Mixer(own_code, own_tables)
-        worth = {w: float(log10p(np.float64(n), n_all, v_all)) for w, n in known.items()}
-        none = float(log10p(np.float64(0), n_all, v_all))
+        known, *model = sent.value
+        mixer = Mixer(*model)
+        worth = Worth({w: float(log10p(np.float64(n), n_all, v_all)) for w, n in known.items()})
         end, end_known = float(log10p(np.float64(ends), n_all, v_all)), int(ends > 0)
         for batch in batches:
-            raw, offsets = text_bytes(batch["text"])
-            cost = np.concatenate([mixer.cost(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in row_slices(offsets, SLICE // 2)]) if batch.num_rows else np.zeros(0)
+            cost = mixer.costs(*text_bytes(batch["text"]))
             cols: list[list] = [[] for _ in range(5)]
             for text in batch["text"].cast(pa.binary()).to_pylist():
                 w = text.lower().split() if text else []
-                base, hits, rest = end, end_known, Counter()
-                for x, k in Counter(w).items():
-                    if (one := worth.get(x)) is not None:
-                        base += k * one
-                        hits += k
-                    else:
-                        rest[x] = k
-                for c, v in zip(cols, (len(w) + 1, hits, base, list(rest), list(rest.values()))):
+                worth.rare = {}
+                base = end + sum(map(worth.__getitem__, w))
+                hits = end_known + len(w) - sum(worth.rare.values())
+                for c, v in zip(cols, (len(w) + 1, hits, base, list(worth.rare), list(worth.rare.values()))):
                     c.append(v)
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *map(pa.array, cols, kinds), pa.array(-cost / np.log(10))], ["doc_id", "n_tokens", "n_known", "base", "rare", "times", "score"])
