@@ -5,14 +5,17 @@ anchors: every window of LENGTH bytes is owned by its k-gram of least hash (the
 have equal anchors, and every window has one owner, so all copies of a window meet under one anchor and nowhere else.
 The windows that one anchor owns in one place are a stretch of text of at most 2 * LENGTH - K bytes.
 
-Stretches with the same anchor and the same bytes are one class. An anchor seen once is done: nothing repeats. If all
-its stretches are one class, they repeat whole. Else the classes' stretches are indexed together, in blocks of
-bounded size: their suffixes are sorted, the Burrows-Wheeler transform is kept as runs, and for the ends of each run
-the text position and the length it shares with its neighbour are sampled. Going through the text, the matching
-statistic of a position is the sampled length less the distance from the last sample before it: between samples it
-falls by one for each byte. Where it is LENGTH or more, the window starts elsewhere too.
-
-Anchors with more than ``MOST_CLASSES`` different stretches are counted by windows in Spark instead of in one block.
+Stretches with the same anchor and class hash are one class. An anchor seen once is done: nothing repeats. All others
+are decided by an index, from the bytes of each class at one place and, where it occurs again, at a second one: their
+suffixes are sorted, the Burrows-Wheeler transform is kept as runs, and for the ends of each run the text position and
+the length it shares with its neighbour are sampled. Going through the text, the matching statistic of a position is
+the sampled length less the distance from the last sample before it: between samples it falls by one for each byte.
+Where it is LENGTH or more, the window starts elsewhere too. Blocks hold whole anchors and are of bounded size. Where
+all stretches of an anchor are one class, neighbours that lie side by side at both places are indexed as one text.
+
+An anchor with more than ``MOST_CLASSES`` classes is split: a window that holds a gram of g bytes holds at least half
+of the LENGTH - g others on one side of it, so windows are dealt out anew by the gram with that half, and again where
+need be until the gram is the window. Every further place of a class is taken to be equal by its hashes (128 bits).
 
 Defined results: null and empty texts have no bytes and nothing to remove; texts shorter than LENGTH are never cut;
 repeated rows remove each other; texts of any length are read in overlapping pieces; an empty table gives an empty
@@ -30,14 +33,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmix.llm.common import row_slices, staged, table, text_bytes
-from gridmix.llm.hashing import Ranges
+from gridmix.llm.hashing import MIX, Ranges, mixed
 
 LENGTH, K = 200, 80
 #: Bytes hashed at once, and the piece that a longer text is read in.
 SLICE = 2 << 20
-#: Bytes of stretches that are indexed together.
-BLOCK = 3 << 20
-MOST_CLASSES = 20_000
+#: Bytes of stretches that are indexed together (small enough for the processor's cache), and by one task.
+BLOCK, TASK = 128 << 10, 8 << 20
+#: Classes of one anchor that are indexed together at most.
+MOST_CLASSES = 4000
+#: Side-by-side stretches are indexed as texts of about so many bytes.
+RUN = 16 << 10
 PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -89,7 +95,7 @@ def row_pieces(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int,
 
 def find_stretches(rows: DataFrame) -> DataFrame:
     """(anchor, class, size, n, row, at, more) with one line for the equal stretches of a slice: the first place in
-    row and at, the others (row as int64 and at as int64, one after the other) in more."""
+    row and at, the others (row and at, as big-endian int64, one after the other) in more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,7 +114,7 @@ def find_stretches(rows: DataFrame) -> DataFrame:
                 more: list[bytes | None] = [None] * len(head)
                 for i in np.flatnonzero(n > 1):
                     own = slice(head[i] + 1, head[i] + n[i])
-                    more[i] = np.stack([row[own], start[own]], 1).astype("<i8").tobytes()
+                    more[i] = np.stack([row[own], start[own]], 1).astype(">i8").tobytes()
                 yield pa.RecordBatch.from_arrays([*(pa.array(x[head]) for x in (anchor, kind, size)), pa.array(n), pa.array(row[head]), pa.array(start[head]), pa.array(more, pa.binary())], ["anchor", "class", "size", "n", "row", "at", "more"])
 
     return rows.select("row", "text").mapInArrow(run, "anchor long, class long, size long, n long, row long, at long, more binary")
@@ -201,28 +207,32 @@ class RunLengthIndex:
             yield int(text[i]), int(a[i]), int(a[j - 1]) + least
 
 
-def indexed(classes: DataFrame) -> DataFrame:
-    """(anchor, class, a, b): what repeats of each class, from lines (anchor, class, n, bytes) of all its anchor's classes."""
+def indexed(texts: DataFrame, tasks: int) -> DataFrame:
+    """(anchor, class, a, b): what repeats of each class, from lines (key, anchor, class, copy, members, bytes) with all
+    texts of their key. A text with copy 1 is there to be found. ``members`` lists the stretches a text is made of:
+    anchor, class, start and size, as int64; without it the text is the stretch of its anchor and class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple[int, int, int, bytes]] = []  # whole anchors
-        own: list[tuple[int, int, int, bytes]] = []  # the anchor being read
+        block: list[tuple] = []  # whole keys
+        own: list[tuple] = []  # the key being read
         total = own_total = 0
 
         def out(rows: list) -> pa.RecordBatch:
             cols: list[list] = [[], [], [], []]
-            for i, a, b in RunLengthIndex([r[3] for r in rows]).long_matches(LENGTH):
-                if rows[i][2] == 1:
-                    for c, v in zip(cols, (rows[i][0], rows[i][1], a, b)):
-                        c.append(v)
-            for anchor, kind, n, text in rows:
-                if n > 1:
-                    for c, v in zip(cols, (anchor, kind, 0, len(text))):
-                        c.append(v)
+            for i, a, b in RunLengthIndex([r[5] for r in rows]).long_matches(LENGTH):
+                _, anchor, kind, copy, members, _ = rows[i]
+                if copy:
+                    continue
+                parts = np.frombuffer(members, np.int64).reshape(-1, 4).tolist() if members else [(anchor, kind, 0, len(rows[i][5]))]
+                for part, sub, start, size in parts:
+                    x, y = max(a, start), min(b, start + size)
+                    if y - x >= LENGTH:
+                        for c, v in zip(cols, (part, sub, x - start, y - start)):
+                            c.append(v)
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["anchor", "class", "a", "b"])
 
         for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in ("anchor", "class", "n", "bytes"))):
+            for row in zip(*(batch[c].to_pylist() for c in TEXT)):
                 if own and row[0] != own[0][0]:
                     if block and total + own_total > BLOCK:
                         yield out(block)
@@ -231,47 +241,135 @@ def indexed(classes: DataFrame) -> DataFrame:
                     total += own_total
                     own, own_total = [], 0
                 own.append(row)
-                own_total += len(row[3])
+                own_total += len(row[5])
         if block and total + own_total > BLOCK:
             yield out(block)
             block = []
         if block or own:
             yield out(block + own)
 
-    return classes.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, class long, a long, b long")
+    return texts.select(*TEXT).repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(run, "anchor long, class long, a long, b long")
+
 
+TEXT = ["key", "anchor", "class", "copy", "members", "bytes"]
 
-def counted(classes: DataFrame) -> DataFrame:
-    """The same by counting windows, for anchors with very many classes: one line per window, added up by its hash."""
+
+def cut_out(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Lines of TEXT for wanted lines (row, at, size, key, anchor, class, copy, members)."""
+    of_row = wanted.groupBy("row").agg(F.collect_list(F.struct("key", "anchor", "class", "copy", "members", "at", "size")).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         for batch in batches:
-            for anchor, kind, n, text in zip(*(batch[c].to_pylist() for c in ("anchor", "class", "n", "bytes"))):
-                with np.errstate(over="ignore"):
-                    h = Ranges(np.frombuffer(text, np.uint8)).all_of(LENGTH).view(np.int64)
-                m = len(h)
-                yield pa.RecordBatch.from_arrays([pa.array([anchor] * m), pa.array([kind] * m), pa.array(range(m), pa.int64()), pa.array([n] * m, pa.int64()), pa.array(h)], ["anchor", "class", "a", "n", "window"])
+            lists, texts = batch["wanted"], batch["text"].cast(pa.binary()).to_pylist()
+            flat = lists.flatten()
+            again = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            cuts = [texts[i][a : a + n] for i, a, n in zip(again.tolist(), flat.field("at").to_pylist(), flat.field("size").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(flat.field(c).cast(k) for c, k in zip(TEXT[:5], kinds)), pa.array(cuts, pa.binary())], TEXT)
+
+    return rows.join(of_row, "row").select("text", "wanted").mapInArrow(run, "key long, anchor long, class long, copy int, members binary, bytes binary")
 
-    windows = classes.mapInArrow(run, "anchor long, class long, a long, n long, window long")
-    twice = windows.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "window")
-    return windows.join(twice, ["anchor", "window"]).select("anchor", "class", "a", (F.col("a") + LENGTH).alias("b"))
 
+def both_places(classes: DataFrame) -> DataFrame:
+    """Wanted lines of classes: their first place, and the second where there is one."""
+    first = F.struct("row", "at", F.lit(0).alias("copy"))
+    second = F.struct(F.col("row2").alias("row"), F.col("at2").alias("at"), F.lit(1).alias("copy"))
+    x = F.explode(F.when(F.col("n") > 1, F.array(first, second)).otherwise(F.array(first))).alias("x")
+    return classes.select(F.col("anchor").alias("key"), "anchor", "class", "size", F.lit(None).cast("binary").alias("members"), x).select(
+        "key", "anchor", "class", "size", "members", "x.row", "x.at", "x.copy"
+    )
 
-def with_bytes(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Lines (anchor, class, n, bytes) of classes given by one place each (row, at, size)."""
-    wanted = classes.groupBy("row").agg(F.collect_list(F.struct("anchor", "class", "n", "at", "size")).alias("wanted"))
+
+def side_by_side(classes: DataFrame) -> DataFrame:
+    """Wanted lines of classes that have their anchor to themselves: those whose stretches follow each other at both
+    places are one text."""
+    of_row = classes.groupBy("row").agg(F.collect_list(F.struct("at", "size", "row2", "at2", "anchor", "class")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[], [], [], []]
-            for text, places in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["wanted"].to_pylist()):
-                for p in places:
-                    for c, v in zip(cols, (p["anchor"], p["class"], p["n"], text[p["at"] : p["at"] + p["size"]])):
+            lists = batch["own"]
+            flat = lists.flatten()
+            at, size, row2, at2, anchor, kind = (flat.field(c).to_numpy() for c in ("at", "size", "row2", "at2", "anchor", "class"))
+            row = np.repeat(batch["row"].to_numpy(), lists.value_lengths().to_numpy())
+            if not len(row):
+                continue
+            order = np.lexsort((at, row))
+            row, at, size, row2, at2, anchor, kind = (x[order] for x in (row, at, size, row2, at2, anchor, kind))
+            cut = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + size[:-1] - LENGTH + 1) | (row2[1:] != row2[:-1]) | (np.diff(at2 - at) != 0) | (np.diff(at // RUN) != 0)
+            head = np.flatnonzero(np.append(True, cut))
+            last = np.append(head[1:], len(row)) - 1
+            whole = at[last] + size[last] - at[head]
+            start = at - np.repeat(at[head], last - head + 1)
+            table = np.stack([anchor, kind, start, size], 1)
+            members = [table[a : b + 1].tobytes() for a, b in zip(head, last)]
+            with np.errstate(over="ignore"):
+                key = mixed((row[head].astype(np.uint64) << np.uint64(20)) ^ at[head].astype(np.uint64) * MIX).view(np.int64)
+            n = len(head)
+            twice = lambda x, y: pa.array(np.concatenate([x, y]))
+            yield pa.RecordBatch.from_arrays(
+                [twice(key, key), twice(anchor[head], anchor[head]), twice(kind[head], kind[head]), twice(whole, whole), pa.array(members + [None] * n, pa.binary()), twice(row[head], row2[head]), twice(at[head], at2[head]), pa.array([0] * n + [1] * n, pa.int32())],
+                ["key", "anchor", "class", "size", "members", "row", "at", "copy"],
+            )
+
+    return of_row.mapInArrow(run, "key long, anchor long, class long, size long, members binary, row long, at long, copy int")
+
+
+def anchor_place(text: bytes) -> int:
+    """Where a stretch's anchor is: its k-gram of least hash, the leftmost of equal ones."""
+    with np.errstate(over="ignore"):
+        gram = Ranges(np.frombuffer(text, np.uint8)).all_of(K)
+    return int(np.argmin(gram & ~PLACE | np.arange(len(gram), dtype=np.uint64)))
+
+
+def halves(text: bytes, place: int, gram: int) -> Iterator[tuple[bytes, int, int, int]]:
+    """(longer gram, its place in the part, start of the part, its end): the windows of a text around a gram, dealt out
+    to those that hold half of the other bytes behind it and those that hold half before it."""
+    rest = LENGTH - gram
+    half = -(-rest // 2)
+    a, b = max(0, place - (rest - half)), min(place, len(text) - LENGTH)
+    if a <= b:
+        yield b"+" + text[place : place + gram + half], place - a, a, b + LENGTH
+    a, b = max(0, place - rest), min(place - (rest - half) - 1, len(text) - LENGTH)
+    if a <= b:
+        yield b"-" + text[place - half : place + gram], place - half - a, a, b + LENGTH
+
+
+def finer(texts: DataFrame, gram: int) -> DataFrame:
+    """(key, anchor, class, skipped, place, bytes): lines (anchor, class, skipped, place, bytes) under longer grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: list[list] = [[] for _ in range(6)]
+            for anchor, kind, skipped, place, text in zip(*(batch[c].to_pylist() for c in ("anchor", "class", "skipped", "place", "bytes"))):
+                for longer, at, a, b in halves(text, anchor_place(text) if place is None else place, gram):
+                    key = int.from_bytes(hashlib.blake2b(longer, digest_size=8).digest(), "big", signed=True)
+                    for c, v in zip(cols, (key, anchor, kind, skipped + a, at, text[a:b])):
                         c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, cols, kinds)), ["anchor", "class", "n", "bytes"])
+            kinds = (*[pa.int64()] * 5, pa.binary())
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, cols, kinds)), ["key", "anchor", "class", "skipped", "place", "bytes"])
+
+    return texts.mapInArrow(run, "key long, anchor long, class long, skipped long, place long, bytes binary")
+
 
-    return rows.join(wanted, "row").mapInArrow(run, "anchor long, class long, n long, bytes binary")
+def split_crowded(texts: DataFrame, tasks: int, most: int) -> list[DataFrame]:
+    """What ``indexed`` gives, of anchors with too many classes. Equal parts under a key are indexed once or, as a
+    second copy, twice; once the gram is the window, all parts of a key are equal."""
+    gram, out = K, []
+    todo = texts.select("anchor", "class", F.lit(0).cast("long").alias("skipped"), F.lit(None).cast("long").alias("place"), "bytes")
+    while True:
+        level = staged(finer(todo, gram))
+        gram += -(-(LENGTH - gram) // 2)
+        parts = level.groupBy("key", "bytes").agg(F.count(F.lit(1)).alias("n"))
+        parts = staged(parts.withColumn("part", F.monotonically_increasing_id()))
+        crowded = staged(parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("key"))
+        own = parts.join(crowded, "key", "left_anti")
+        copies = F.explode(F.when(F.col("n") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+        found = indexed(own.select("key", F.col("key").alias("anchor"), F.col("part").alias("class"), copies, F.lit(None).cast("binary").alias("members"), "bytes"), tasks)
+        found = found.select(F.col("anchor").alias("key"), F.col("class").alias("part"), "a", "b").join(own, ["key", "part"]).select("key", "bytes", "a", "b")
+        out.append(level.join(found, ["key", "bytes"]).select("anchor", "class", (F.col("a") + F.col("skipped")).alias("a"), (F.col("b") + F.col("skipped")).alias("b")))
+        if crowded.isEmpty():
+            return out
+        todo = level.join(crowded, "key", "left_semi").select("anchor", "class", "skipped", "place", "bytes")
 
 
 def places(found: DataFrame) -> DataFrame:
@@ -279,7 +377,7 @@ def places(found: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            more = [np.frombuffer(x, "<i8").reshape(-1, 2) if x else np.zeros((0, 2), np.int64) for x in batch["more"].to_pylist()]
+            more = [np.frombuffer(x, ">i8").astype(np.int64).reshape(-1, 2) if x else np.zeros((0, 2), np.int64) for x in batch["more"].to_pylist()]
             again = np.repeat(np.arange(batch.num_rows), [len(x) for x in more])
             rest = np.concatenate(more) if more else np.zeros((0, 2), np.int64)
             row = np.concatenate([batch["row"].to_numpy(), rest[:, 0]])
@@ -301,6 +399,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def class_table(twice: DataFrame) -> DataFrame:
+    """(anchor, class, one, n, row, at, size, row2, at2): every class with how often it occurs, its first place and a second one."""
+    number = lambda at: F.conv(F.hex(F.substring("more", at, 8)), 16, 10).cast("long")
+    here = F.struct("row", "at")
+    other = F.when(F.col("more").isNull(), here).otherwise(F.greatest(here, F.struct(number(1).alias("row"), number(9).alias("at"))))
+    n = F.lit(1) + F.coalesce(F.octet_length("more") / 16, F.lit(0)).cast("long")
+    made = twice.groupBy("anchor", "class").agg(F.sum(n).alias("n"), F.first("one").alias("one"), F.min(F.struct("row", "at", "size")).alias("p"), F.max(other).alias("q"))
+    return made.select("anchor", "class", "one", "n", "p.row", "p.at", "p.size", F.col("q.row").alias("row2"), F.col("q.at").alias("at2"))
+
+
 def repeats(docs: DataFrame, most_classes: int = MOST_CLASSES) -> DataFrame:
     """doc_id, text and spans (maximal removed runs of bytes, as array<struct<a,b>>) of every row."""
     # Read in several jobs: the numbers of a scan hold only for its splits, so they are stored.
@@ -310,19 +418,17 @@ def repeats(docs: DataFrame, most_classes: int = MOST_CLASSES) -> DataFrame:
     keys = lines.groupBy("anchor").agg(F.sum("n").alias("total"), (F.min("class") == F.max("class")).alias("one"))
     keys = staged(keys.where("total > 1").select("anchor", "one"))
     twice = staged(lines.join(keys, "anchor").select("anchor", "class", "size", "row", "at", "more", "one"))
-    n = F.lit(1) + F.coalesce(F.octet_length("more") / 16, F.lit(0)).cast("long")
-    least = F.min(F.struct("row", "at", "size")).alias("p")
-    classes = twice.where("not one").groupBy("anchor", "class").agg(F.sum(n).alias("n"), least).select("anchor", "class", "n", "p.row", "p.at", "p.size")
-    crowded = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > most_classes).select("anchor", F.lit(True).alias("crowded"))
-    crowded = staged(crowded)
-    if crowded.isEmpty():
-        found = indexed(with_bytes(rows, classes))
-    else:
-        texts = staged(with_bytes(rows, classes).join(crowded, "anchor", "left"))
-        found = indexed(texts.where("crowded is null")).unionByName(counted(texts.where("crowded")))
-    part = twice.where("not one").select("anchor", "class", "row", "at", "more").join(found, ["anchor", "class"])
-    whole = twice.where("one").select("row", "at", "more", F.lit(0).cast("long").alias("a"), F.col("size").alias("b"))
-    spans = places(whole.unionByName(part.select("row", "at", "more", "a", "b")))
+    classes = staged(class_table(twice))
+    several = classes.where("not one")
+    # Stretches that lie side by side share LENGTH - 1 bytes: about a third of their bytes are indexed, each at two places.
+    tasks = 1 + int(classes.agg(F.sum(F.when(F.col("one"), F.col("size") / 3).otherwise(F.col("size")))).first()[0] or 0) // TASK
+    crowded = staged(several.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > most_classes).select("anchor"))
+    texts = cut_out(rows, both_places(several.join(crowded, "anchor", "left_anti")).unionByName(side_by_side(classes.where("one"))))
+    found = indexed(texts, tasks)
+    if not crowded.isEmpty():
+        for part in split_crowded(cut_out(rows, both_places(several.join(crowded, "anchor", "left_semi"))), tasks, most_classes):
+            found = found.unionByName(part)
+    spans = places(twice.select("anchor", "class", "row", "at", "more").join(found, ["anchor", "class"]))
     of_row = spans.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     return rows.join(of_row, "row", "left").select("doc_id", "text", "spans")
 

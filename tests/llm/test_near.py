@@ -40,7 +40,7 @@ def repeat_texts():
     return texts
 
 
-@pytest.mark.parametrize("most_classes", [repeats.MOST_CLASSES, 3])
+@pytest.mark.parametrize("most_classes", [repeats.MOST_CLASSES, 3, 1])
 def test_repeats(spark, most_classes):
     texts = repeat_texts()
     df = spark.createDataFrame(rows_of(texts), SCHEMA).repartition(4, "doc_id")
@@ -71,6 +71,42 @@ def test_long_text_in_pieces(spark, monkeypatch):
     assert sorted(at) == list(range(len(raw) - 199))
 
 
+def test_repeats_of_table(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in d.collect()]
+    want = dict(zip((i for i, _ in rows), plain_repeats([t for _, t in rows])))
+    for r in repeats.digests(repeats.repeats(d)).collect():
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]]
+
+
+def test_bytes_decide_not_hashes(spark):
+    """Two places of a class whose bytes differ, as under equal hashes: only what they share may go."""
+    rng = random.Random(12)
+    one, other = bytearray(rng.randbytes(500)), None
+    other = bytes(one[:230]) + b"\x00" + bytes(one[231:400])
+    texts = [(7, 1, 2, 0, None, bytes(one)), (7, 1, 2, 1, None, other), (8, 3, 4, 0, None, rng.randbytes(300)), (8, 3, 4, 1, None, rng.randbytes(300))]
+    df = spark.createDataFrame(texts, "key long, anchor long, class long, copy int, members binary, bytes binary")
+    assert sorted(tuple(r) for r in repeats.indexed(df, 2).collect()) == [(1, 2, 0, 230)]
+
+
+def test_windows_around_a_gram_are_dealt_out_once():
+    rng = random.Random(13)
+    for _ in range(300):
+        size, gram = rng.randrange(200, 321), rng.choice([80, 140, 170, 185, 193, 197, 199])
+        text = bytes(rng.randrange(256) for _ in range(size))
+        place = rng.randrange(size - gram + 1)
+        starts = [s for s in range(size - 199) if s <= place and s + 200 >= place + gram]
+        if starts != list(range(size - 199)):
+            continue  # every window of a stretch holds its gram
+        dealt = []
+        for longer, at, a, b in repeats.halves(text, place, gram):
+            assert text[a + at : a + at + len(longer) - 1] == longer[1:]
+            own = range(a, b - 199)
+            assert all(s <= a + at and s + 200 >= a + at + len(longer) - 1 for s in own)
+            dealt += own
+        assert sorted(dealt) == starts
+
+
 def test_run_length_index():
     rng = random.Random(2)
     texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 60))) for _ in range(20)]
