@@ -260,6 +260,68 @@ def test_warc(spark):
     assert warc.read_records(warc.write_archives(warc.with_roles(df.limit(0)), folder), folder).count() == 0
 
 
+def plain_records(raw):
+    """Records of an uncompressed archive by a parser of its own: (fields in lower case, block)."""
+    at = 0
+    while at < len(raw):
+        line, fields = b"", {}
+        end = raw.index(b"\r\n", at)
+        assert raw[at:end] == b"WARC/1.1"
+        at = end + 2
+        while (end := raw.index(b"\r\n", at)) != at:
+            line = raw[at:end]
+            name, _, value = line.partition(b":")
+            fields[name.strip().lower().decode()] = value.strip().decode()
+            at = end + 2
+        size = int(fields["content-length"])
+        yield fields, raw[at + 2 : at + 2 + size]
+        at += 2 + size
+        assert raw[at : at + 4] == b"\r\n\r\n"
+        at += 4
+
+
+def test_archives_are_standard(spark):
+    import glob
+    import gzip
+    import zlib
+
+    big = "<p>" + "é" * 600
+    pages = [("a\nb", "http://x/1", big), ("", "http://x/2\r\nEvil: 1", big), (None, None, "x\r\n\r\ny"), ("z\u2028", "http://é/", big), ("q", "u", None)]
+    df = spark.createDataFrame(pages, "page_id string, url string, html string").repartition(2)
+    folder = warc.shared_dir(spark)
+    index = warc.write_archives(warc.with_roles(df), folder)
+    records = {}
+    for name in glob.glob(folder.removeprefix("file://") + "/*.warc.gz"):
+        with gzip.open(name) as f:
+            for fields, block in plain_records(f.read()):
+                records[fields["warc-record-id"]] = (fields, block)
+        with open(name, "rb") as f:
+            raw = f.read()
+        for r in index.where(index.file == name.rsplit("/", 1)[1]).collect():  # each index row is one whole gzip member
+            member = zlib.decompressobj(31)
+            assert len(list(plain_records(member.decompress(raw[r["offset"] : r["offset"] + r["length"]])))) == 1 and member.eof
+    assert len(records) == len(pages)
+    for fields, block in records.values():
+        head, _, payload = block.partition(b"\r\n\r\n")
+        assert fields["content-type"].startswith("application/http") and head.startswith(b"HTTP/1.1 200")
+        if fields["warc-type"] == "revisit":
+            to, body = records[fields["warc-refers-to"]]
+            assert to["warc-target-uri"] == fields["warc-refers-to-target-uri"] and to["warc-date"] == fields["warc-refers-to-date"]
+            assert to["warc-payload-digest"] == fields["warc-payload-digest"] and to["warc-type"] == "response" and payload == b""
+        else:
+            assert fields["warc-payload-digest"] == "sha1:" + hashlib.sha1(payload).hexdigest()
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.read_records(index, folder).collect()}
+    assert got == {"a\nb": ("revisit", "z\u2028"), "": ("revisit", "z\u2028"), None: ("response", None), "z\u2028": ("response", None), "q": ("response", None)}
+
+
+def test_reading_is_dealt_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "TASK", 1000)
+    folder = warc.shared_dir(spark)
+    index = warc.write_archives(warc.with_roles(spark.range(300).selectExpr("id AS page_id", "'u' AS url", "sha2(CAST(id AS string), 512) AS html")), folder)
+    found = warc.read_records(index, folder)
+    assert found.rdd.getNumPartitions() > 20 and found.count() == 300
+
+
 def test_ranges_are_coalesced():
     rows = [(0, 10), (10, 10), (25, 5), (1000, 10), (1005, 50)]
     assert list(warc.ranges(rows, gap=5, most=10_000)) == [(0, 3, 0, 30), (3, 5, 1000, 55)]
