@@ -15,7 +15,7 @@ only has none); an empty table gives an empty result; only doc_id and text of th
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ WORDS, SEED, BITS, MOST = 3, 42, 64, 3
 SAMPLE_ROWS = 20_000
 #: Keys with more rows than this are split by further bits.
 HOT = 20_000
+#: Keys with no more free bits are not split: no more than 2**FREE fingerprints have one.
+FREE = 12
 #: Groups up to this size are compared by shifted arrays, larger ones by search from row to row.
 SMALL = 48
 #: Costs of a row shuffled and of a candidate pair verified, relative to each other.
@@ -134,33 +136,35 @@ def plan(sample: np.ndarray, n: int, both: np.ndarray, most: int = MOST) -> list
     return best[1]
 
 
-def keys_of(fp: Column, parts: list[tuple[list[int], int]]) -> Column:
-    """Array of (part, key): the partition's bits for threshold 0; for threshold 1 those bits less one, for each one."""
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def masks_of(parts: list[tuple[list[int], int]]) -> list[int]:
+    """The bits that keys keep: a partition's for threshold 0; for threshold 1 those less one, for each one."""
+    return [mask_of(bits) & ~(1 << drop if t else 0) for bits, t in parts for drop in (bits if t else [0])]
+
+
+def keys_of(fp: Column, masks: list[int]) -> Column:
+    """Array of (mask, key) of a fingerprint."""
+    return F.array(*[F.struct(F.lit(signed(m)).alias("mask"), fp.bitwiseAND(F.lit(signed(m)).cast("long")).alias("key")) for m in masks])
+
+
+def refined(rows: DataFrame, hot: int, most: int = MOST) -> DataFrame:
+    """(key, fp): keys that more than ``hot`` rows hold become most + 1 finer keys each, with the free bits in most + 1
+    pieces, of which linked fingerprints share one; and again, until no key is hot or at most FREE bits are free."""
     out = []
-    for i, (bits, t) in enumerate(parts):
-        drop = [None] if t == 0 else bits
-        for j, b in enumerate(drop):
-            mask = mask_of([x for x in bits if x != b])
-            signed = mask - (1 << 64) if mask >> 63 else mask
-            out.append(F.struct(F.lit(i * 64 + j).alias("part"), fp.bitwiseAND(F.lit(signed).cast("long")).alias("key")))
-    return F.array(*out)
-
-
-def refined(rows: DataFrame, parts: list[tuple[list[int], int]], hot: int, most: int = MOST) -> DataFrame:
-    """Rows under keys that hold more than ``hot`` of them get most + 1 finer keys instead: the other bits in most + 1
-    pieces, of which linked fingerprints share one."""
-    crowded = rows.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).drop("n").withColumn("hot", F.lit(True))
-    marked = rows.join(crowded, ["part", "key"], "left")
-    pieces = F.lit(None)
-    for i, (bits, _) in enumerate(parts):
-        rest = [b for b in range(BITS) if b not in bits]
-        signed = [m - (1 << 64) if (m := mask_of(rest[j :: most + 1])) >> 63 else m for j in range(most + 1)]
-        finer = F.array(*[F.struct(F.lit(j).alias("sub"), F.col("fp").bitwiseAND(F.lit(s).cast("long")).alias("more")) for j, s in enumerate(signed)])
-        pieces = F.when(F.floor(F.col("part") / 64) == i, finer) if i == 0 else pieces.when(F.floor(F.col("part") / 64) == i, finer)
-    single = F.array(F.struct(F.lit(-1).alias("sub"), F.lit(0).cast("long").alias("more")))
-    return marked.select("part", "key", "fp", F.explode(F.when(F.col("hot"), pieces).otherwise(single)).alias("x")).select(
-        F.xxhash64("part", "key", "x.sub", "x.more").alias("key"), "fp"
-    )
+    while True:
+        crowded = rows.where(F.bit_count("mask") < BITS - FREE).groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).drop("n")
+        crowded = staged(crowded)
+        if crowded.isEmpty():
+            return reduce(DataFrame.unionByName, [*out, rows]).select(F.xxhash64("mask", "key").alias("key"), "fp")
+        out.append(rows.join(crowded, ["mask", "key"], "left_anti"))
+        masks = [r["mask"] % (1 << BITS) for r in crowded.select("mask").distinct().collect()]  # one row a mask
+        finer = {m: [m | mask_of([b for b in range(BITS) if not m >> b & 1][j :: most + 1]) for j in range(most + 1)] for m in masks}
+        known = rows.sparkSession.createDataFrame([(signed(m), list(map(signed, own))) for m, own in finer.items()], "mask long, finer array<long>")
+        again = rows.join(crowded, ["mask", "key"], "left_semi").join(F.broadcast(known), "mask").select(F.explode("finer").alias("mask"), "fp")
+        rows = staged(again.select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("key"), "fp"))
 
 
 def labels_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -241,8 +245,9 @@ def components_of(distinct: DataFrame, hot: int = HOT) -> DataFrame:
     n, both = bit_sums(distinct)
     sample = np.array([r["fp"] for r in hashed_share(distinct, n, SAMPLE_ROWS, "fp").select("fp").collect()], np.int64).view(np.uint64)
     parts = plan(sample, n, both)
-    keyed = distinct.select("fp", F.explode(keys_of(F.col("fp"), parts)).alias("k")).select("k.part", "k.key", "fp")
-    return components(verified(refined(keyed, parts, hot))).select(F.col("node").alias("fp"), "root")
+    masks = masks_of(parts)
+    keyed = distinct.select("fp", F.explode(keys_of(F.col("fp"), masks)).alias("k")).select("k.mask", "k.key", "fp")
+    return components(verified(refined(keyed, hot))).select(F.col("node").alias("fp"), "root")
 
 
 def with_components(rows: DataFrame, order: list[str], hot: int = HOT) -> DataFrame:
