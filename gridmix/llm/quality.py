@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
 Per text the base counts are computed once. Further rules are then tried in order of rejections per cost, both
-estimated on a sample; the first rule that rejects ends the cascade, so the order changes the time and never the
-verdict. No row is shuffled.
+estimated on a sample by a hash of the ids, in one job; the first rule that rejects ends the cascade, so the order
+changes the time and never the verdict. The cost of a rule is the characters that it reads: those of the text if it
+looks at the text, else one for its arithmetic on the base counts. No row is shuffled.
 
 Defined results: null and empty texts have no words and fail the base rule; very long texts are sorted by window
 hash, never compared pairwise; repeated rows give repeated results; an empty table gives an empty result; columns of
@@ -11,18 +12,17 @@ the input other than doc_id and text are not read.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import SPACE, SPACE_CHARS, table
+from gridmix.llm.common import SPACE, SPACE_CHARS, hashed_share, table
 
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]+"
-#: Documents on which the order of the rules is estimated; no count or verdict depends on it.
-SAMPLE_ROWS = 1000
+#: About how many documents the order of the rules is estimated on; no count or verdict depends on it.
+SAMPLE_ROWS = 2000
 
 #: name -> condition under which a text is rejected, over the base counts and the text; the same SQL runs in DuckDB.
 RULES = {
@@ -47,13 +47,13 @@ def words(text: Column) -> Column:
 def repeated_words(w: Column, k: int = WINDOW) -> Column:
     """How many words lie in windows of k words that occur twice or more in the text.
 
-    Windows are compared by a 64-bit hash of their words. Only texts with a repeated hash are sorted.
+    Only texts with a repeated 64-bit hash of a window are sorted, by hash and then by the words themselves.
     """
     hashes = F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)]))
 
     def covered(h: Column) -> Column:
-        ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        twice = let(ordered, lambda s: F.filter(s, lambda x, j: F.coalesce(F.get(s, j - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(s, j + 1)["h"] == x["h"], F.lit(False))))
+        ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(F.struct(x.alias("h"), F.slice(w, i + 1, k).alias("words")).alias("g"), i.alias("i"))))
+        twice = let(ordered, lambda s: F.filter(s, lambda x, j: F.coalesce(F.get(s, j - 1)["g"] == x["g"], F.lit(False)) | F.coalesce(F.get(s, j + 1)["g"] == x["g"], F.lit(False))))
         starts = F.array_sort(F.transform(twice, lambda x: x["i"]))
         widths = let(starts, lambda p: F.transform(p, lambda x, j: F.least(F.lit(k), F.coalesce(F.get(p, j + 1) - x, F.lit(k)))))
         return F.aggregate(widths, F.lit(0).cast("bigint"), lambda total, x: total + x)
@@ -79,21 +79,19 @@ def spark_rule(name: str) -> Column:
     return F.expr(f"coalesce({RULES[name].replace(chr(92), chr(92) * 2).replace(", 'g')", ')')}, false)")
 
 
-def ordered_rules(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rule names by estimated rejections per second on the first ``rows`` rows that Spark delivers.
+def estimates(docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
+    """Of each rule (share of rejections, cost in characters a document) on about ``rows`` documents."""
+    some = hashed_share(docs.select("doc_id", "text"), docs.count(), rows, "doc_id")
+    rejected = [F.sum(spark_rule(name).cast("int")).alias(name) for name in RULES]
+    found = counts(some).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("text")).alias("chars"), *rejected).first()
+    n = max(found["n_rows"], 1)
+    return {name: (((found[name] or 0) + 0.5) / n, 1 + ("text" in rule) * (found["chars"] or 0) / n) for name, rule in RULES.items()}
 
-    ``take`` reads as few partitions as it needs; a limit in the plan would bring rows of all of them to one task.
-    """
-    first = docs.select("doc_id", "text")
-    seen = counts(docs.sparkSession.createDataFrame(first.take(rows), first.schema)).cache()
-    total = max(seen.count(), 1)
-    gain = {}
-    for name in RULES:
-        began = time.perf_counter()
-        rejected = seen.select(F.sum(spark_rule(name).cast("int"))).first()[0] or 0
-        gain[name] = (rejected + 0.5) / total / (time.perf_counter() - began)
-    seen.unpersist()
-    return sorted(RULES, key=lambda x: -gain[x])
+
+def ordered_rules(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
+    """Rule names by estimated rejections per cost."""
+    known = estimates(docs, rows)
+    return sorted(RULES, key=lambda x: -known[x][0] / known[x][1])
 
 
 def quality(docs: DataFrame, order: list[str] | None = None) -> DataFrame:

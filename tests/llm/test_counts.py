@@ -116,6 +116,18 @@ def test_quality(spark, docs, empty, odd_texts):
     assert one == other
 
 
+def test_rules_are_ordered_by_rejections_per_cost(spark, empty):
+    texts = ["# # # word a b c d e f g"] * 3 + ["plain words of a text that nobody would reject at all, I think"] * 40 + ["ALL OF THIS IS LOUD AND VERY LONG " * 30] * 12
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = quality.estimates(df)
+    chars = sum(map(len, texts)) / len(texts)
+    assert known["symbols"] == (0.5 / 55, 1) and known["shouting"] == (12.5 / 55, 1 + chars)
+    order = quality.ordered_rules(df)
+    gain = [known[r][0] / known[r][1] for r in order]
+    assert gain == sorted(gain, reverse=True) and set(order) == set(quality.RULES)
+    assert len(quality.ordered_rules(empty)) == len(quality.RULES)
+
+
 def test_quality_has_no_python(docs):
     plan = quality.quality(docs, list(quality.RULES))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
