@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +26,11 @@ from gridmix.llm.common import by_batch, table
 # The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "random")
 
 #: A candidate is a whole run of these characters, of this length or more.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+")
-LONG_HEX = re.compile(r"[0-9a-f]{24,}+")
+LONG_HEX = re.compile(r"[0-9a-f]{24,}+")  # of 24 or more, as the base pattern asks
 KEYWORDS = ("passw", "secret", "token", "api_key", "apikey")
 #: Hexadecimal lengths of CRC-64, MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 DIGEST = re.compile(r"(?i:[0-9a-f]{16}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
@@ -79,9 +80,12 @@ def spans(text: str, enc, ratio: float = RATIO) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     out += [(m.start(), 2, m.end()) for m in LONG_HEX.finditer(text)]
+    out.sort()
+    starts, ends = [s for s, _, _ in out], list(accumulate((e for _, _, e in out), max))
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if not any(s < b and a < e for s, _, e in out) and not is_known(m[0], enc) and len(m[0]) < ratio * len(enc.encode_ordinary(m[0])):
+        before = bisect_left(starts, b)  # of the base spans that start before b, does the last end reach over a?
+        if not (before and ends[before - 1] > a) and not is_known(m[0], enc) and len(m[0]) < ratio * len(enc.encode_ordinary(m[0])):
             out.append((a, 3, b))
     return sorted(out)
 
