@@ -27,6 +27,62 @@ def test_spelled_words_are_joined(spark):
     assert read(None) == read("") == set()
 
 
+def test_spaced_words_are_segmented(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    read = toxicity.Reader(toxicity.character_model(d), lambda f: f)
+    for text, words in (
+        ("s t u p i d i d i o t", {"stupid", "idiot"}), ("(s t u p i d)", {"stupid"}), ("s  t  u  p  i  d", {"stupid"}),
+        ("so 5 t u p 1 d", {"stupid"}), ("m*o*r*o*n", {"moron"}), ("iddiott", {"idiot"}),
+    ):
+        assert words <= read(text), (text, read(text))
+
+
+def test_viterbi_is_the_best_of_all_paths(spark):
+    import itertools
+
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    r = toxicity.Restorer(toxicity.character_model(d))
+
+    def score(puts, cost):
+        a = b = 0
+        for c in [*"".join(puts), " "]:
+            z = toxicity.symbol(c) if c != " " else 0
+            cost += r.log[a << 12 | b << 6 | z]
+            a, b = b, z
+        return cost
+
+    for runs, spaced in (([("i", 1), ("1", 2), ("d", 3)], False), ([("$", 1), ("t", 1), ("0", 1), ("p", 2)], False), ([("m", 1), ("e", 1), ("1", 1), ("t", 1)], True), ([("5", 1), ("o", 1), ("a", 1)], True)):
+        best = -math.inf
+        for steps in itertools.product(*(r.steps(c, n) for c, n in runs)):
+            for cuts in itertools.product((False, True), repeat=len(runs) - 1) if spaced else [(False,) * (len(runs) - 1)]:
+                puts = [steps[0][0]] + [" " * cut + p for (p, _), cut in zip(steps[1:], cuts)]
+                text = "".join(puts)
+                if text.startswith(" ") or "  " in text:
+                    continue
+                best = max(best, score(puts, sum(c for _, c in steps) + toxicity.BREAK * sum(cuts)))
+        assert math.isclose(r.best(runs, spaced)[0], best, rel_tol=1e-6), runs
+
+
+def test_trigrams_do_not_depend_on_batches(spark, monkeypatch):
+    texts = ["naïve café", None, "", "x", "東京 abc", "words of a text"] * 3
+    want = Counter()
+    for t in texts:
+        s = [0, 0, *(toxicity.symbol(c) for c in t or ""), 0, 0]
+        want.update(a << 12 | b << 6 | c for a, b, c in zip(s, s[1:], s[2:]))
+    raw, off = text_bytes(pa.array(texts))
+    for step in (1 << 20, 7):
+        monkeypatch.setattr(toxicity, "STEP", step)
+        s = toxicity.padded_symbols(raw, off).tolist()
+        assert Counter(a << 12 | b << 6 | c for a, b, c in zip(s, s[1:], s[2:])) == want
+        assert s[:2] == [0, 0] and len(s) == sum(len(t or "") for t in texts) + 2 * len(texts) + 2
+
+
+def test_training_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(i % 40, f"text {i}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert toxicity.training_rows(docs, labels, 10).count() <= 10 and toxicity.training_rows(docs, labels).count() <= 40
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
