@@ -24,11 +24,11 @@ c = N = V = 0 and even odds for every bit; only doc_id and text are read.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -200,17 +200,27 @@ def slot(context: np.ndarray, at: np.ndarray, salt: np.ndarray, bits: int) -> np
     return h.astype(np.int64)
 
 
+def words_of(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(row, word) of all words of a column, A-Z lower-cased."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text.fill_null("")))
+    words, row = lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    some = pc.greater(pc.binary_length(words), 0)  # blanks around a text leave empty strings
+    return row[some.to_numpy(zero_copy_only=False)], words.filter(some).cast(pa.binary())
+
+
 def first_pass(train: DataFrame) -> DataFrame:
     """(word, pair, n): counts of words (pair null; the end token is the word that is empty) and of symbol pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
-        pairs = np.zeros(ALPHABET * ALPHABET, np.int64)
-        names = ["word", "pair", "n"]
+        pairs, rows = np.zeros(ALPHABET * ALPHABET, np.int64), 0
+        names, held, size = ["word", "pair", "n"], [], 0
 
-        def out() -> pa.RecordBatch:
-            n = len(words)
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.nulls(n, pa.int32()), pa.array(list(words.values()), pa.int64())], names)
+        def added() -> pa.Table:
+            return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+        def out(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            for b in t.append_column("pair", pa.nulls(t.num_rows, pa.int32())).select(names).to_batches():
+                yield b
 
         for batch in batches:
             raw, offsets = text_bytes(batch["text"])
@@ -219,15 +229,20 @@ def first_pass(train: DataFrame) -> DataFrame:
                 before = np.append(END, symbols[:-1])
                 before[own[:-1][own[:-1] < len(symbols)]] = END
                 pairs += np.bincount(before * ALPHABET + symbols, minlength=len(pairs))
-            words[b""] += batch.num_rows
-            for a, b in row_slices(offsets, 1 << 20):
-                piece = batch["text"].slice(a, b - a).cast(pa.binary()).to_pylist()
-                words.update(b"\n".join(t or b"" for t in piece).lower().split())
-                if len(words) > 500_000:
-                    yield out()
-                    words.clear()
-        if words:
-            yield out()
+            rows += batch.num_rows
+            for a in range(0, batch.num_rows, 200):
+                seen = pc.value_counts(words_of(batch["text"].slice(a, 200))[1])
+                held.append(pa.table({"word": seen.field("values"), "n": seen.field("counts")}))
+                size += len(seen)
+                if size > 300_000:
+                    held = [added()]
+                    size = held[0].num_rows
+                    if size > 200_000:
+                        yield from out(held[0])
+                        held, size = [], 0
+        if rows:
+            held.append(pa.table({"word": pa.array([b""], pa.binary()), "n": pa.array([rows], pa.int64())}))
+            yield from out(added())
             used = np.flatnonzero(pairs)
             yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), pa.array(pairs[used])], names)
 
@@ -458,16 +473,6 @@ def log10p(c: np.ndarray, n: int, v: int) -> np.ndarray:
     return np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
 
 
-class Worth(dict):
-    """What a common word adds to the base score; all others add nothing here and are counted in ``rare``."""
-
-    rare: dict[bytes, int]
-
-    def __missing__(self, word: bytes) -> float:
-        self.rare[word] = self.rare.get(word, 0) + 1
-        return 0.0
-
-
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     docs = docs.select("doc_id", "text")
@@ -480,40 +485,40 @@ def scores(docs: DataFrame) -> DataFrame:
     size = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, v_all = size["n"] or 0, size["v"]
     ends = words.where(F.octet_length("word") == 0).agg(F.sum("n")).first()[0] or 0
-    common = {bytes(r["word"]): r["n"] for r in frequent(words, COMMON).collect()}  # COMMON rows at most
+    top = frequent(words, COMMON).collect()  # COMMON rows at most
+    common = ([bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.int64))
     code = Code(pairs)
     teaches = F.pmod(F.xxhash64("doc_id"), F.lit(TUNING)) == 0
     tuning = staged(train.where(teaches))
     alone, tables = context_tables(train.where(~teaches), tuning, code, table_bits(int(pairs.sum())))
     weights = learnt_weights(tuning, code, alone)
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((common, code, tables, weights))
+    sent = spark.sparkContext.broadcast((*common, code, tables, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, *model = sent.value
-        mixer = Mixer(*model)
-        worth = Worth({w: float(log10p(np.float64(n), n_all, v_all)) for w, n in known.items()})
+        known, seen_times, *model = sent.value
+        mixer, worth = Mixer(*model), log10p(seen_times.astype(float), n_all, v_all)
+        known = pa.array(known, pa.binary())
         end, end_known = float(log10p(np.float64(ends), n_all, v_all)), int(ends > 0)
         for batch in batches:
             cost = mixer.costs(*text_bytes(batch["text"]))
-            cols: list[list] = [[] for _ in range(5)]
-            for text in batch["text"].cast(pa.binary()).to_pylist():
-                w = text.lower().split() if text else []
-                worth.rare = {}
-                base = end + sum(map(worth.__getitem__, w))
-                hits = end_known + len(w) - sum(worth.rare.values())
-                for c, v in zip(cols, (len(w) + 1, hits, base, list(worth.rare), list(worth.rare.values()))):
-                    c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *map(pa.array, cols, kinds), pa.array(-cost / np.log(10))], ["doc_id", "n_tokens", "n_known", "base", "rare", "times", "score"])
+            n = batch.num_rows
+            row, words = words_of(batch["text"])
+            at = pc.index_in(words, value_set=known)
+            common = at.is_valid().to_numpy(zero_copy_only=False)
+            base = end + np.bincount(row[common], weights=worth[at.drop_null().to_numpy()], minlength=n)
+            rare = np.bincount(row[~common], minlength=n)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rare)), pa.int32()), words.filter(pa.array(~common)))
+            total = np.bincount(row, minlength=n)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(total + 1), pa.array(total - rare + end_known), pa.array(base), lists, pa.array(-cost / np.log(10))], ["doc_id", "n_tokens", "n_known", "base", "rare", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    seen = docs.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base double, rare array<binary>, times array<long>, score double")
+    seen = docs.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base double, rare array<binary>, score double")
     seen = staged(seen.withColumn("row", F.monotonically_increasing_id()))
-    rare = seen.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+    rare = seen.select("row", F.explode("rare").alias("word"))
     c = F.coalesce("n", F.lit(0))
     joined = rare.join(words, "word", "left").select(
-        "row", (F.col("times") * F.log10((c + F.lit(0.1)) / F.lit(n_all + 0.1 * (v_all + 1)))).alias("base"), F.when(c > 0, F.col("times")).otherwise(0).alias("known"),
+        "row", F.log10((c + F.lit(0.1)) / F.lit(n_all + 0.1 * (v_all + 1))).alias("base"), (c > 0).cast("long").alias("known"),
     )
     added = joined.groupBy("row").agg(F.sum("base").alias("more"), F.sum("known").alias("hits"))
     return seen.join(added, "row", "left").select(
