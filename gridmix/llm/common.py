@@ -31,9 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the session's ``spark.checkpoint.dir``; only without that setting (tests) one under /tmp."""
+    """A new folder under the session's ``spark.checkpoint.dir``. Without that setting, only a session in one process
+    may use a folder under /tmp: executors elsewhere would each write to a disk of their own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file:///tmp/gridmix-shared"
     return f"{base.rstrip('/')}/gridmix-{uuid.uuid4().hex}"
 
@@ -42,7 +45,7 @@ def staged(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Writes a table to the shared folder and reads it back: lineage ends there and nothing is computed twice."""
     spark = df.sparkSession
     path = shared_dir(spark)
-    (df.select(*columns) if columns else df).write.parquet(path)
+    (df.select(*columns) if columns else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.select(*columns).schema if columns else df.schema).parquet(path)
 
 

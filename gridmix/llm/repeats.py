@@ -267,7 +267,8 @@ def cut_out(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             cuts = [texts[i][a : a + n] for i, a, n in zip(again.tolist(), flat.field("at").to_pylist(), flat.field("size").to_pylist())]
             yield pa.RecordBatch.from_arrays([*(flat.field(c).cast(k) for c, k in zip(TEXT[:5], kinds)), pa.array(cuts, pa.binary())], TEXT)
 
-    return rows.join(of_row, "row").select("text", "wanted").mapInArrow(run, "key long, anchor long, class long, copy int, members binary, bytes binary")
+    # All columns of the rows, so that their shuffle serves the join at the end as well.
+    return rows.join(of_row, "row").mapInArrow(run, "key long, anchor long, class long, copy int, members binary, bytes binary")
 
 
 def both_places(classes: DataFrame) -> DataFrame:
