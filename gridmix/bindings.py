@@ -4,6 +4,7 @@ are derived from events, orders, customers and suppliers; ``bindings_sql`` has t
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,10 @@ from gridmix.functions import instants, text
 from gridmix.operators import quality, upsert, windows
 from gridmix.operators.conform import conform
 from gridmix.plans import gold, report, silver, territory
-from gridmix.sources import payloads
+from gridmix.sources import payloads, tables
 from gridmix.sources.seeds import seed
-from gridmix.specs import DETAIL_MEASURES, NATIONAL_CONS_DEF, NATIONAL_TR, SEASONS, SHARED_MEASURES, SOURCES, Column, DatasetSpec, Kind
+from gridmix.specs import DETAIL_MEASURES, NATIONAL_CONS_DEF, NATIONAL_TR, SEASONS, SHARED_MEASURES, SOURCES, Dataset, by_month
+from gridmix.streaming.incremental import load_landed
 
 #: Events are moved by so many days, to a spring with a change of the clock and published tariffs.
 SHIFT_DAYS = 816
@@ -61,14 +63,14 @@ def slots(spark: SparkSession, d: str, minutes: int) -> DataFrame:
     )
 
 
-def bronze_series(spark: SparkSession, d: str, spec: DatasetSpec, minutes: int) -> DataFrame:
+def bronze_series(spark: SparkSession, d: str, spec: Dataset, minutes: int) -> DataFrame:
     real_time = spec is NATIONAL_TR
     rows = slots(spark, d, minutes)
     at = F.col("date_heure").cast("timestamp_ntz")
     rows = rows.where(at >= F.lit(REAL_TIME_START)) if real_time else rows.where(at < F.lit(CONSOLIDATED_END))
     nature = F.lit("Données temps réel") if real_time else F.when(at < F.lit(DEFINITIVE_END), "Données définitives").otherwise("Données consolidées")
-    rows = rows.withColumns({"nature": nature, "perimetre": F.lit("France"), "ingested_at_utc": F.lit(LOADED), "source_dataset": F.lit(spec.dataset_id)})
-    return rows.select(*(F.col(c) if c in rows.columns else F.lit(None).cast(t.dataType).alias(c) for c, t in zip(spec.schema.fieldNames(), spec.schema)))
+    rows = rows.withColumns({"nature": nature, "perimetre": F.lit("France"), "ingested_at_utc": F.lit(LOADED), "source_dataset": F.lit(spec.name)})
+    return rows.select(*(F.col(c) if c in rows.columns else F.lit(None).cast(t.dataType).alias(c) for c, t in zip(spec.stored.fieldNames(), spec.stored)))
 
 
 def real_time(spark, d):
@@ -175,7 +177,7 @@ def diagnosis(spark, d):
 
 # --- operators on the tables as they are -------------------------------------------------------------------------
 
-ORDERS = DatasetSpec("orders_text", (Column("o_orderdate", Kind.INSTANT), Column("o_orderkey", Kind.CODE)), (Column("o_orderpriority", Kind.LABEL), Column("absent", Kind.LABEL)), ("o_totalprice", "o_clerk_score"))
+ORDERS = Dataset("orders_text", ("o_orderdate", "o_orderkey"), ("o_orderpriority", "absent"), ("o_totalprice", "o_clerk_score"), "o_orderdate", by_month("o_orderdate"))
 
 
 def order_records(spark, d):
@@ -198,8 +200,8 @@ def conform_rejects(spark, d):
 
 
 def order_batch(spark, d):
-    """A batch of revisions: every third order, some twice."""
-    o = read(spark, d, "orders").where("o_orderkey % 3 = 0").select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit(1).alias("version"), F.col("o_orderkey").alias("_seq"))
+    """A batch of revisions: all orders that aren't finished, some twice, and new ones."""
+    o = read(spark, d, "orders").where("o_orderstatus <> 'F'").select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit(1).alias("version"), F.col("o_orderkey").alias("_seq"))
     again = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit(None).cast("long").alias("o_custkey"), (F.col("o_totalprice") + 1).alias("o_totalprice"), F.when(F.col("o_orderkey") % 4 == 0, 2).otherwise(1).alias("version"), (F.col("_seq") + 1).alias("_seq"))
     new = o.where("o_orderkey % 5 = 0").withColumn("o_orderkey", -F.col("o_orderkey"))
     return o.unionByName(again).unionByName(new)
@@ -221,8 +223,8 @@ def props_json(spark, d):
     e = read(spark, d, "events")
     pages = e.groupBy(F.floor(F.col("event_id") / 10).alias("page")).agg(F.sort_array(F.collect_list(F.struct("event_id", "props"))).alias("r"))
     pages = pages.select("page", F.concat(F.lit('{"results":['), F.array_join(F.transform("r", lambda x: F.coalesce(x["props"], F.lit("{}"))), ","), F.lit("]}")).alias("value"))
-    spec = DatasetSpec("props", (Column("k", Kind.CODE),))
-    return payloads.records_of_pages(pages, spec).select(text.to_measure(F.col("k")).alias("k"), F.col("_seq").cast("long").alias("seq"))
+    spec = Dataset("props", ("k",))
+    return payloads.records_of_pages(pages, spec).select(text.to_measure(F.col("k")).alias("k"), F.col("_seq.page").cast("long").alias("page"), F.col("_seq.pos").cast("long").alias("pos"))
 
 
 def calendar_scan(spark, d):
@@ -232,17 +234,18 @@ def calendar_scan(spark, d):
 
 
 def geocoder_scan(spark, d):
-    """One stored geocoder response per customer; a tenth without a feature."""
+    """One stored geocoder response per customer; some without a feature, commune code, context, score or precision."""
     c = read(spark, d, "customer")
     k = F.col("c_custkey")
     p = F.struct(
-        F.col("c_name").alias("label"), ((k % 10) / 10).alias("score"), F.when(k % 3 == 0, "housenumber").otherwise("municipality").alias("type"), F.concat(F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"), F.lit("001")).alias("citycode"),
-        F.lit("Ville").alias("city"), F.lit("00000").alias("postcode"), F.when(k % 2 == 0, "69, Rhône, Auvergne-Rhône-Alpes").otherwise("974, La Réunion").alias("context"),
+        F.col("c_name").alias("label"), F.when(k % 11 != 3, (k % 10) / 10).alias("score"), F.when(k % 3 == 0, "housenumber").when(k % 3 == 1, "municipality").alias("type"),
+        F.when(k % 17 != 5, F.concat(F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"), F.lit("001"))).alias("citycode"), F.lit("Ville").alias("city"), F.lit("00000").alias("postcode"),
+        F.when(k % 13 == 4, "Rhône").when(k % 2 == 0, "69, Rhône, Auvergne-Rhône-Alpes").otherwise("974, La Réunion").alias("context"),
     )
     f = F.struct(F.struct(F.array((k % 90).cast("double"), (k % 45).cast("double")).alias("coordinates")).alias("geometry"), p.alias("properties"))
     body = F.to_json(F.struct(F.filter(F.array(f), lambda _: k % 10 != 9).alias("features")))
     out = payloads.geocoded(c.select(F.col("c_custkey").alias("id"), body.alias("value")), seed(spark, "dim_region"))
-    return out.select("id", "score", "precision", "code_insee_commune", "longitude", "latitude", "departement", "region", "code_departement", "score_faible", "precision_grossiere", "code_insee_region")
+    return out.select("id", "score", "precision", "code_insee_commune", "longitude", "latitude", "departement", "region", "code_departement", "score_faible", "precision_grossiere", "code_insee_region", "erreur")
 
 
 def labels_and_codes(spark, d):
@@ -259,7 +262,7 @@ def labels_and_codes(spark, d):
 
 def repeated_hour(spark, d):
     """Order times as local texts on the nights the clock changes: instants, or the mark of an hour that doesn't exist."""
-    o = read(spark, d, "orders").where("month(o_orderdate) in (3, 10) and o_orderkey % 2 = 1")
+    o = read(spark, d, "orders").where("month(o_orderdate) in (3, 10)")
     last_sunday = F.date_sub(F.last_day("o_orderdate"), F.weekday(F.date_add(F.last_day("o_orderdate"), 1)).cast("int"))
     rows = o.groupBy(last_sunday.alias("jour")).agg(F.min("o_orderkey").alias("k"))
     steps = rows.select("jour", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("i"))
@@ -339,18 +342,60 @@ def ranked_customers(spark, d):
     return c.withColumn("rang", windows.rank_where("solde", F.col("solde") > 0)).crossJoin(F.broadcast(c.agg(F.count(F.when(F.col("solde") > 0, 1)).alias("classes"))))
 
 
-def incremental(spark, d):
-    """Events landed as three files and loaded by key as a stream that ends (R1); the resulting table."""
-    import uuid
+def shared(spark, name):
+    """A new folder under the session's shared one; without that setting only for a session in one process."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{(base or 'file:///tmp/gridmix-shared').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
 
-    from gridmix.streaming.incremental import load_landed
+EVENTS = Dataset("events_landed", ("ts", "event_id"), ("event_type",), ("value",), "ts", "date_format(ts, 'yyyy-MM-dd')")
 
-    spec = DatasetSpec("events_landed", (Column("ts", Kind.INSTANT), Column("event_id", Kind.CODE)), (Column("event_type", Kind.LABEL),), ("value",))
-    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file:///tmp/gridmix-shared').rstrip('/')}/stream-{uuid.uuid4().hex}"
-    e = read(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("string").alias("event_id"), "event_type", "value", F.lit(LOADED).alias("ingested_at_utc"), F.lit("events").alias("source_dataset"))
-    e.repartition(3).write.parquet(f"{base}/landing")
-    load_landed(spark, base, spec, f"{base}/landing", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/bronze/{spec.table_name}").select("ts", "event_id", "event_type", "value")
+
+def landed_events(spark, d):
+    e = read(spark, d, "events")
+    return e.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("string").alias("event_id"), "event_type", "value", F.lit(LOADED).alias("ingested_at_utc"), F.lit("events").alias("source_dataset"))
+
+
+def incremental(spark, d):
+    """Events landed as three files and loaded by key as a stream that ends; then a late correction of one kind of
+    event over days already loaded, in a second run (R1, R2); the resulting table."""
+    base, e = shared(spark, "stream"), landed_events(spark, d)
+    for part in (e.repartition(3), e.where("event_type = 'click'").withColumn("value", F.col("value") + 1)):
+        part.write.mode("append").parquet(f"{base}/landing")
+        load_landed(spark, base, EVENTS, f"{base}/landing", f"{base}/checkpoint").awaitTermination()
+    return tables.bronze(spark, base, EVENTS).select("ts", "event_id", "event_type", "value")
+
+
+def ingested(spark, d):
+    """All text orders through conform, landing and upsert, twice, then an empty batch: figures of the three loads."""
+    base = shared(spark, "ingest")
+    records = order_records(spark, d)
+    runs = [(records, "a"), (records, "b"), (records.limit(0), "c")]
+    rows = []
+    for i, (r, run) in enumerate(runs):
+        x = upsert.ingest(spark, base, ORDERS, r, LOADED, run)
+        rows.append((i, x["rows"], x["rows_inserted"], x["rows_updated"]))
+    stored = tables.bronze(spark, base, ORDERS)
+    made = spark.createDataFrame(rows, "charge int, lignes long, inserees long, mises_a_jour long")
+    return made.crossJoin(stored.agg(F.count(F.lit(1)).alias("en_base"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("montant")))  # three rows and one
+
+
+def exported(spark, d):
+    """Customers as a delimited export in several files, read back as texts."""
+    folder = shared(spark, "export")
+    c = read(spark, d, "customer").select("c_custkey", "c_name", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("c_acctbal"))
+    c.repartition(3).write.option("sep", ";").option("header", True).csv(folder)
+    return payloads.read_delimited(spark, folder).select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", text.to_measure(F.col("c_acctbal")).alias("c_acctbal"))
+
+
+def rebuilt_gold(spark, d):
+    """A gold table written in full twice, then read back."""
+    base = shared(spark, "gold")
+    for _ in range(2):
+        tables.write_full(read(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"), base, "gold", "nations")
+    return tables.gold(spark, base, "nations")
 
 
 def best_and_worst(spark, d):
@@ -417,6 +462,9 @@ _BOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q10_freshness": freshness,
     "q11_month_coverage": month_cover,
     "r1_incremental": incremental,
+    "m25_ingest": ingested,
+    "s1_export": exported,
+    "k5_full_rebuild": rebuilt_gold,
 }
 
 

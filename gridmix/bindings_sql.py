@@ -141,13 +141,13 @@ CTE = {
     "sites": """SELECT s_suppkey AS site_id, CASE s_suppkey % 7 WHEN 0 THEN '75101' WHEN 1 THEN '99001' ELSE lpad((s_nationkey + 1)::VARCHAR, 2, '0') || lpad((s_suppkey % 60)::VARCHAR, 3, '0') END AS code_insee_commune,
   CASE WHEN s_suppkey % 5 <> 0 THEN abs(s_acctbal) / 200 END AS puissance_mw FROM supplier""",
     "sites1": f"SELECT *, CASE WHEN length(code_insee_commune) = 5 THEN coalesce({_city.format('code_insee_commune')}, code_insee_commune) ELSE code_insee_commune END AS code_commune FROM sites",
-    "cout": """SELECT mois AS cout_mois, 'Bureau 36 kVA' AS cout_profil_libelle, conso_kwh AS cout_conso_kwh, part_hc AS cout_part_hc, cout_htva_eur AS cout_cout_htva_eur, prix_moyen_htva_eur_kwh AS cout_prix_moyen_htva_eur_kwh,
+    "cout": """SELECT mois AS cout_mois, 'Bureau tertiaire, 36 kVA' AS cout_profil_libelle, conso_kwh AS cout_conso_kwh, part_hc AS cout_part_hc, cout_htva_eur AS cout_cout_htva_eur, prix_moyen_htva_eur_kwh AS cout_prix_moyen_htva_eur_kwh,
   intensite_moyenne_g_kwh AS cout_intensite_moyenne_g_kwh, kwh_decales AS cout_kwh_decales, gain_decalage_eur AS cout_gain_decalage_eur, co2_evite_kg AS cout_co2_evite_kg FROM pm WHERE cout_htva_eur IS NOT NULL ORDER BY mois DESC LIMIT 1""",
     # operators
     "rec": """SELECT o_orderkey AS k, o_orderkey % 2 = 0 AS aware, o_orderdate::DATE + (o_orderkey % 24) * INTERVAL 1 HOUR + INTERVAL 30 MINUTE AS t, o_orderpriority, o_totalprice FROM orders""",
-    "batch": """SELECT o_orderkey, o_custkey, o_totalprice + 1 AS o_totalprice, 1 AS version, o_orderkey AS seq FROM orders WHERE o_orderkey % 3 = 0
-  UNION ALL SELECT o_orderkey, NULL, o_totalprice + 2, CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 1 END, o_orderkey + 1 FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 = 0
-  UNION ALL SELECT -o_orderkey, o_custkey, o_totalprice + 1, 1, o_orderkey FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 5 = 0""",
+    "batch": """SELECT o_orderkey, o_custkey, o_totalprice + 1 AS o_totalprice, 1 AS version, o_orderkey AS seq FROM orders WHERE o_orderstatus <> 'F'
+  UNION ALL SELECT o_orderkey, NULL, o_totalprice + 2, CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 1 END, o_orderkey + 1 FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 2 = 0
+  UNION ALL SELECT -o_orderkey, o_custkey, o_totalprice + 1, 1, o_orderkey FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 5 = 0""",
     "latest": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC, (o_custkey IS NOT NULL)::INT + (o_totalprice IS NOT NULL)::INT DESC, seq DESC) AS rn FROM batch) WHERE rn = 1""",
 }
 
@@ -233,12 +233,13 @@ QUERY = {
     "p15_labels_codes": f"""SELECT c_custkey, {_normal.format("translate(n_name, 'AEIO', 'ÀÉÎÔ') || '-' || c_mktsegment")} AS libelle, {_department.format('code')} AS departement, CASE WHEN length(code) = 5 THEN coalesce({_city.format('code')}, code) ELSE code END AS commune,
       CASE WHEN c_custkey % 5 <> 0 THEN code ELSE coalesce({_city.format('rpad(code, 9, chr(48))')}, left(rpad(code, 9, '0'), 5)) END AS reconstituee, CASE c_custkey % 3 WHEN 0 THEN 'definitive' WHEN 1 THEN 'consolidee' ELSE 'temps_reel' END AS qualite, round(coalesce(c_acctbal, 0), 6) AS somme
       FROM (SELECT *, CASE c_custkey % 4 WHEN 0 THEN '97' || lpad((c_custkey % 1000)::VARCHAR, 3, '0') WHEN 1 THEN '751' || lpad((c_custkey % 20)::VARCHAR, 2, '0') ELSE lpad((c_custkey % 90000)::VARCHAR, 5, '0') END AS code FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
-    "s2_paged_json": "SELECT json_extract_string(props, '$.k')::DOUBLE AS k, (event_id // 10) * 1000000 + row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS seq FROM events",
+    "s2_paged_json": "SELECT json_extract_string(props, '$.k')::DOUBLE AS k, event_id // 10 AS page, row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS pos FROM events",
     "s3_calendar": "SELECT jour_tempo::VARCHAR AS date_heure, CASE couleur WHEN 'bleu' THEN 'BLUE' WHEN 'blanc' THEN 'WHITE' ELSE 'RED' END AS couleur FROM tempo",
-    "s4_geocoder": """SELECT id, CASE WHEN ok THEN (id % 10) / 10 END AS score, CASE WHEN ok THEN CASE WHEN id % 3 = 0 THEN 'housenumber' ELSE 'municipality' END END AS precision, CASE WHEN ok THEN c END AS code_insee_commune, CASE WHEN ok THEN (id % 90)::DOUBLE END AS longitude,
-      CASE WHEN ok THEN (id % 45)::DOUBLE END AS latitude, CASE WHEN ok THEN CASE WHEN id % 2 = 0 THEN 'Rhône' ELSE 'La Réunion' END END AS departement, CASE WHEN ok THEN CASE WHEN id % 2 = 0 THEN 'Auvergne-Rhône-Alpes' ELSE 'La Réunion' END END AS region,
-      CASE WHEN ok THEN left(c, 2) END AS code_departement, CASE WHEN ok THEN (id % 10) / 10 < 0.5 END AS score_faible, CASE WHEN ok THEN id % 3 <> 0 END AS precision_grossiere, CASE WHEN ok THEN CASE WHEN id % 2 = 0 THEN '84' ELSE '04' END END AS code_insee_region
-      FROM (SELECT c_custkey AS id, c_custkey % 10 <> 9 AS ok, lpad((c_nationkey + 1)::VARCHAR, 2, '0') || '001' AS c FROM customer)""",
+    "s4_geocoder": """SELECT id, CASE WHEN ok THEN CASE WHEN id % 11 = 3 THEN 0 ELSE (id % 10) / 10 END END AS score, CASE WHEN ok THEN t END AS precision, CASE WHEN ok THEN c END AS code_insee_commune, CASE WHEN ok THEN (id % 90)::DOUBLE END AS longitude,
+      CASE WHEN ok THEN (id % 45)::DOUBLE END AS latitude, CASE WHEN ok AND id % 13 <> 4 THEN CASE WHEN id % 2 = 0 THEN 'Rhône' ELSE 'La Réunion' END END AS departement, CASE WHEN ok AND id % 13 <> 4 THEN CASE WHEN id % 2 = 0 THEN 'Auvergne-Rhône-Alpes' ELSE 'La Réunion' END END AS region,
+      CASE WHEN ok AND id % 13 <> 4 THEN CASE WHEN id % 2 = 0 THEN '69' ELSE '974' END END AS code_departement, CASE WHEN ok THEN id % 11 = 3 OR (id % 10) / 10 < 0.4 END AS score_faible, CASE WHEN ok THEN id % 3 <> 0 END AS precision_grossiere,
+      CASE WHEN ok AND id % 13 <> 4 THEN CASE WHEN id % 2 = 0 THEN '84' ELSE '04' END END AS code_insee_region, CASE WHEN NOT ok THEN 'introuvable' WHEN c IS NULL THEN 'sans_commune' WHEN id % 13 = 4 THEN 'contexte' END AS erreur
+      FROM (SELECT c_custkey AS id, c_custkey % 10 <> 9 AS ok, CASE WHEN c_custkey % 17 <> 5 THEN lpad((c_nationkey + 1)::VARCHAR, 2, '0') || '001' END AS c, CASE c_custkey % 3 WHEN 0 THEN 'housenumber' WHEN 1 THEN 'municipality' END AS t FROM customer)""",
     "s9_window": "SELECT event_id, ts, round(value, 6) AS value FROM events WHERE ts >= TIMESTAMP '2024-01-17 12:00:00' AND ts < TIMESTAMP '2024-01-20 12:00:00'",
     "s11_months": f"SELECT date_trunc('month', o_orderdate)::DATE AS mois, count(*) AS n FROM orders WHERE o_orderdate >= {utc('''TIMESTAMP '1997-06-01' ''')} AND o_orderdate < TIMESTAMP '1999-06-15' GROUP BY 1",
     "s13_days": "SELECT d::DATE AS jour, count(o_orderkey) AS n FROM generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1997-12-31', INTERVAL 1 DAY) AS g(d) LEFT JOIN orders ON o_orderdate::DATE = d::DATE GROUP BY 1",
@@ -258,7 +259,14 @@ QUERY = {
     "q11_month_coverage": f"""SELECT mois, n AS nb_instants, a AS nb_attendus, round(n / a, 6) AS couverture, CASE WHEN n / a >= 0.95 THEN 'ok' ELSE 'incomplet' END AS verdict FROM (
       SELECT m AS mois, (SELECT count(DISTINCT date_heure) FROM cons WHERE date_trunc('month', {paris('date_heure')})::DATE = m) AS n, {month_hours('m')} * 2 AS a FROM (
       SELECT CASE WHEN max(d) = DATE '2026-04-01' THEN (max(d) - INTERVAL 1 MONTH)::DATE ELSE max(d) END AS m FROM (SELECT date_trunc('month', {paris('date_heure')})::DATE AS d FROM cons)))""",
-    "r1_incremental": "SELECT ts, event_id::VARCHAR AS event_id, event_type, round(value, 6) AS value FROM events",
+    "r1_incremental": "SELECT ts, event_id::VARCHAR AS event_id, event_type, round(CASE WHEN event_type = 'click' THEN value + 1 ELSE value END, 6) AS value FROM events",
+    "m25_ingest": f"""SELECT charge::INT AS charge, CASE WHEN charge < 2 THEN n ELSE 0 END AS lignes, CASE WHEN charge = 0 THEN n ELSE 0 END AS inserees, CASE WHEN charge = 1 THEN n ELSE 0 END AS mises_a_jour, n AS en_base, montant FROM (VALUES (0), (1), (2)) AS c(charge),
+      (SELECT count(*) AS n, sum(CASE WHEN k % 13 <> 0 AND k % 17 <> 0 THEN round(o_totalprice, 2)::DECIMAL(18, 2) END)::DOUBLE AS montant FROM rec WHERE k % 19 <> 0 AND (aware OR {paris(utc('t'))} = t))""",
+    "s1_export": "SELECT c_custkey, c_name, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS c_acctbal FROM customer",
+    "k5_full_rebuild": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "p6_repeated_hour": f"""SELECT jour, i::INT AS i, CASE WHEN {paris('f')} = t THEN CASE WHEN i >= 6 AND {paris('(f + INTERVAL 1 HOUR)')} = t THEN f + INTERVAL 1 HOUR ELSE f END END AS instant, {paris('f')} <> t AS inexistante
+      FROM (SELECT jour, i, t, CASE WHEN {paris("(" + utc('t') + " - INTERVAL 1 HOUR)")} = t THEN {utc('t')} - INTERVAL 1 HOUR ELSE {utc('t')} END AS f FROM (SELECT jour, i, jour::TIMESTAMP + to_minutes((CASE WHEN month(jour) = 3 THEN 60 + 15 * i WHEN i < 6 THEN 90 + 15 * i ELSE 30 + 15 * i END)::INT) AS t
+      FROM (SELECT DISTINCT (last_day(o_orderdate::DATE) - (isodow(last_day(o_orderdate::DATE)) % 7)::INT)::DATE AS jour FROM orders WHERE month(o_orderdate) IN (3, 10)), generate_series(0, 9) AS g(i)))""",
 }
 
 

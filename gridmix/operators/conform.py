@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from gridmix.functions.instants import resolve_instants
 from gridmix.functions.text import clean_text, to_measure
-from gridmix.specs import DatasetSpec, Kind
+from gridmix.specs import Dataset
 
 log = logging.getLogger(__name__)
 
@@ -27,14 +27,16 @@ class Conformed:
     missing: list[str]
 
 
-def _typed(df: DataFrame, name: str, kind: Kind) -> Column:
+def _typed(df: DataFrame, spec: Dataset, name: str) -> Column:
+    kind = spec.type_of(name)
     if name not in df.columns:
-        return F.lit(None).cast("double" if kind is Kind.MEASURE else "timestamp" if kind is Kind.INSTANT else "string")
-    is_boolean = isinstance(df.schema[name].dataType, T.BooleanType)
-    return to_measure(F.col(name), is_boolean) if kind is Kind.MEASURE else F.col(name) if kind is Kind.INSTANT else clean_text(F.col(name))
+        return F.lit(None).cast(kind)
+    if isinstance(kind, T.DoubleType):
+        return to_measure(F.col(name), isinstance(df.schema[name].dataType, T.BooleanType))
+    return clean_text(F.col(name)) if isinstance(kind, T.StringType) else F.col(name)
 
 
-def conform(records: DataFrame, spec: DatasetSpec, ingested_at: dt.datetime, strict: bool = False) -> Conformed:
+def conform(records: DataFrame, spec: Dataset, ingested_at: dt.datetime, strict: bool = False) -> Conformed:
     """Typed rows of a spec from records of texts in arrival order (_seq).
 
     Missing columns become null and unknown ones go. Rows without a whole key are left out and given back, as are rows
@@ -42,25 +44,25 @@ def conform(records: DataFrame, spec: DatasetSpec, ingested_at: dt.datetime, str
     """
     if ingested_at.tzinfo is None:
         raise ValueError("ingested_at must be aware")
-    missing = [c for c in spec.column_names if c not in records.columns]
+    missing = [c for c in spec.columns if c not in records.columns]
     if missing:
-        log.warning("%s: missing columns %s", spec.dataset_id, missing)
+        log.warning("%s: missing columns %s", spec.name, missing)
     if "_seq" not in records.columns:
         records = records.withColumn("_seq", F.monotonically_increasing_id())
     df = records
-    if spec.instant and spec.instant in df.columns:
+    if spec.time and spec.time in df.columns:
         # A blank attribute of the key doesn't make a series of its own.
-        cleaned = df.withColumns({c: clean_text(F.col(c)) for c in [spec.instant, *spec.group_names] if c in df.columns})
-        df = resolve_instants(cleaned, spec.instant, [c for c in spec.group_names if c in df.columns])
+        cleaned = df.withColumns({c: clean_text(F.col(c)) for c in [spec.time, *spec.series] if c in df.columns})
+        df = resolve_instants(cleaned, spec.time, [c for c in spec.series if c in df.columns])
     else:
         df = df.withColumn("_gap", F.lit(False))
     if strict:
-        df = df.withColumn("_gap", F.when(F.col("_gap"), F.raise_error(F.lit(f"{spec.dataset_id}: a local time that does not exist"))).otherwise(F.lit(False)))
-    typed = df.select(*(_typed(df, c.name, c.kind).alias(c.name) for c in spec.columns), "_seq", "_gap")
-    typed = typed.withColumns({"ingested_at_utc": F.lit(ingested_at), "source_dataset": F.lit(spec.dataset_id)})
+        df = df.withColumn("_gap", F.when(F.col("_gap"), F.raise_error(F.lit(f"{spec.name}: a local time that does not exist"))).otherwise(F.lit(False)))
+    typed = df.select(*(_typed(df, spec, c).alias(c) for c in spec.columns), "_seq", "_gap")
+    typed = typed.withColumns({"ingested_at_utc": F.lit(ingested_at), "source_dataset": F.lit(spec.name)})
     whole = F.lit(True)
-    for k in spec.key_names:
+    for k in spec.key:
         whole = whole & F.col(k).isNotNull()
-    names = [*spec.schema.fieldNames(), "_seq"]
+    names = [*spec.stored.fieldNames(), "_seq"]
     good = typed.where(whole & ~F.col("_gap")).select(*names)
     return Conformed(good, typed.where(~whole & ~F.col("_gap")).select(*names), typed.where("_gap").select(*names), missing)

@@ -17,10 +17,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridmix.functions.text import safe_run_id
-from gridmix.sources.tables import bronze
-from gridmix.specs import DatasetSpec, Kind, layer_path
+from gridmix.sources.tables import parted
+from gridmix.specs import PART, Dataset, layer_path
 
-PART = "_part"
+#: Rows of one folder that one task sorts and writes, about.
+TASK_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -32,21 +33,16 @@ class LoadResult:
     rows_deduplicated: int
 
 
-def partition_of(spec: DatasetSpec) -> Column:
-    """A function of the key: the month of its instant, its period, or one value for keys without time."""
-    for c in spec.keys:
-        if c.kind is Kind.INSTANT:
-            return F.date_format(c.name, "yyyy-MM")
-    for c in spec.keys:
-        if c.kind is Kind.PERIOD:
-            return F.left(F.col(c.name), F.lit(7))
-    return F.lit("all")
+def landed_path(folder: str, run_id: str, ingest_date: dt.date) -> str:
+    return f"{folder.rstrip('/')}/ingest_date={ingest_date}/run_id={safe_run_id(run_id)}"
 
 
-def land(df: DataFrame, folder: str, run_id: str, ingest_date: dt.date) -> None:
-    """Immutable landing of one batch; a replay of the same run replaces that run only. An empty batch leaves nothing."""
-    out = df.withColumns({"ingest_date": F.lit(ingest_date), "run_id": F.lit(safe_run_id(run_id))})
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("ingest_date", "run_id").parquet(folder)
+def land(df: DataFrame, folder: str, run_id: str, ingest_date: dt.date) -> str:
+    """Immutable landing of one batch; a replay of the same run replaces that run only. An empty batch is landed as well:
+    a file with its schema. Returns where."""
+    path = landed_path(folder, run_id, ingest_date)
+    (df.limit(0).coalesce(1) if df.isEmpty() else df).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return path
 
 
 def latest(batch: DataFrame, keys: list[str], measures: list[str], newest: str = "ingested_at_utc") -> DataFrame:
@@ -71,36 +67,30 @@ def upsert_metrics(target: DataFrame, batch: DataFrame, unique: DataFrame, keys:
     return out.select("rows_in_batch", "rows_merged", (F.col("rows_merged") - F.col("rows_updated")).alias("rows_inserted"), "rows_updated", (F.col("rows_in_batch") - F.col("rows_merged")).alias("rows_deduplicated"))
 
 
-def upsert(spark: SparkSession, base: str, spec: DatasetSpec, batch: DataFrame) -> LoadResult:
-    """Merges a batch into the bronze table of a spec; the last batch loaded wins. Replays change nothing."""
-    names = spec.schema.fieldNames()
-    unique = latest(batch, spec.key_names, list(spec.measures)).select(*names)
-    path = layer_path(base, "bronze", spec.table_name)
-    keyed = unique.withColumn(PART, partition_of(spec)).cache()
-    target = bronze(spark, base, spec).withColumn(PART, partition_of(spec))
-    touched = [r[0] for r in keyed.select(PART).distinct().collect()]  # months of one batch
-    old = target.where(F.col(PART).isin(*touched)) if touched else target.limit(0)
-    row = upsert_metrics(old, batch, keyed, spec.key_names).first()
+def upsert(spark: SparkSession, base: str, spec: Dataset, batch: DataFrame) -> LoadResult:
+    """Merges a batch into the bronze table of a dataset; the last batch loaded wins. Replays change nothing.
+
+    Only folders that the batch touches are read and written. A folder is dealt to as many tasks as its rows call for.
+    """
+    unique = latest(batch, list(spec.key), list(spec.numbers)).select(*spec.stored.fieldNames())
+    keyed = unique.withColumn(PART, spec.part()).cache()
+    touched = [r[0] for r in keyed.select(PART).distinct().collect()]  # folders of one batch
+    old = parted(spark, base, spec).where(F.col(PART).isin(*touched)) if touched else parted(spark, base, spec).limit(0)
+    row = upsert_metrics(old, batch, keyed, list(spec.key)).first()
     if touched:
-        out = merged(old, keyed, spec.key_names).repartition(PART).sortWithinPartitions(PART, *spec.key_names)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(PART).parquet(path)
+        tasks = 1 + (old.count() + row["rows_merged"]) // TASK_ROWS
+        share = F.pmod(F.xxhash64(*spec.key), F.lit(tasks))
+        out = merged(old, keyed, list(spec.key)).repartition(PART, share).sortWithinPartitions(PART, *spec.key)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(PART).parquet(layer_path(base, "bronze", spec.table))
     keyed.unpersist()
     return LoadResult(**row.asDict())
 
 
-def ingest(spark: SparkSession, base: str, spec: DatasetSpec, records: DataFrame, ingested_at: dt.datetime, run_id: str) -> dict:
-    """Conform, land, upsert. The figures of the load with the dataset's id and the rows that were typed."""
+def ingest(spark: SparkSession, base: str, spec: Dataset, records: DataFrame, ingested_at: dt.datetime, run_id: str) -> dict:
+    """Conform, land, upsert. The figures of the load with the dataset's name and the rows that were typed."""
     from gridmix.operators.conform import conform
 
-    folder = f"{base.rstrip('/')}/landing/{spec.table_name}"
     typed = conform(records, spec, ingested_at).rows
-    land(typed, folder, run_id, ingested_at.date())
-    landed = f"{folder}/ingest_date={ingested_at.date()}/run_id={safe_run_id(run_id)}"
-    try:
-        batch = spark.read.schema(typed.schema).parquet(landed)
-    except Exception as e:  # an empty batch leaves no folder
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        batch = spark.createDataFrame([], typed.schema)
-    result = upsert(spark, base, spec, batch)
-    return {"dataset_id": spec.dataset_id, "rows": result.rows_in_batch, **result.__dict__}
+    landed = land(typed, f"{base.rstrip('/')}/landing/{spec.table}", run_id, ingested_at.date())
+    result = upsert(spark, base, spec, spark.read.schema(typed.schema).parquet(landed))
+    return {"dataset_id": spec.name, "rows": result.rows_in_batch, **result.__dict__}

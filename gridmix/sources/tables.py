@@ -4,34 +4,67 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructType
 
-from gridmix.specs import DatasetSpec, layer_path
+from gridmix.functions.instants import TimeWindow
+from gridmix.specs import DATASETS, PART, Dataset, layer_path
 
 
 class MissingTable(RuntimeError):
     """A table that a product needs has not been built."""
 
 
-def read_spec(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
-    """A Parquet scan with the columns of a spec only, so that partition columns stay out."""
-    return spark.read.parquet(path).select(*spec.schema.fieldNames())
+def _absent(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
 
 
-def bronze(spark: SparkSession, base: str, spec: DatasetSpec) -> DataFrame:
-    """The bronze table of a spec; an empty one with its schema if it has not been loaded yet."""
+def parted(spark: SparkSession, base: str, spec: Dataset) -> DataFrame:
+    """The bronze table of a dataset under its declared schema, with the column that splits it, so that filters on that
+    column leave out folders; empty if nothing has been loaded yet."""
+    schema = StructType(spec.stored.fields).add(PART, StringType())
     try:
-        return read_spec(spark, layer_path(base, "bronze", spec.table_name), spec)
+        return spark.read.schema(schema).parquet(layer_path(base, "bronze", spec.table))
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], spec.schema)
+        if _absent(e):
+            return spark.createDataFrame([], schema)
         raise
 
 
+def bronze(spark: SparkSession, base: str, spec: Dataset, window: TimeWindow | None = None) -> DataFrame:
+    """The bronze table of a dataset, in a time window if one is given."""
+    rows = parted(spark, base, spec)
+    return (windowed(rows, spec, window) if window else rows).drop(PART)
+
+
+def windowed(rows: DataFrame, spec: Dataset, window: TimeWindow) -> DataFrame:
+    """Rows of a time window. A dataset without instants has none: an error, before any job."""
+    if spec.time is None:
+        raise ValueError(f"{spec.name} has no instants: it is read whole, not by a window")
+    return rows.where(window.holds(spec.time))
+
+
+def ensure_tables(spark: SparkSession, base: str, datasets: tuple[Dataset, ...] = DATASETS) -> list[str]:
+    """Makes an empty bronze table of every dataset that has none; the names of those made."""
+    made = []
+    for spec in datasets:
+        path = layer_path(base, "bronze", spec.table)
+        try:
+            spark.read.schema(spec.stored).parquet(path)
+        except AnalysisException as e:
+            if not _absent(e):
+                raise
+            spark.createDataFrame([], StructType(spec.stored.fields).add(PART, StringType())).write.partitionBy(PART).parquet(path)
+            made.append(spec.table)
+    return made
+
+
 def gold(spark: SparkSession, base: str, name: str) -> DataFrame:
     try:
         return spark.read.parquet(layer_path(base, "gold", name))
     except AnalysisException as e:
-        raise MissingTable(f"gold table {name} has not been built under {base}") from e
+        if _absent(e):
+            raise MissingTable(f"gold table {name} has not been built under {base}") from e
+        raise
 
 
 def write_full(df: DataFrame, base: str, layer: str, name: str) -> None:

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gridmix.operators.upsert import upsert
-from gridmix.specs import DatasetSpec
+from gridmix.specs import Dataset
 
 
-def load_landed(spark: SparkSession, base: str, spec: DatasetSpec, landing: str, checkpoint: str) -> StreamingQuery:
+def load_landed(spark: SparkSession, base: str, spec: Dataset, landing: str, checkpoint: str) -> StreamingQuery:
     """Loads what has landed since the last run and stops."""
-    rows = spark.readStream.schema(spec.schema).parquet(landing)
+    rows = spark.readStream.schema(spec.stored).parquet(landing)
 
     def merge(batch: DataFrame, _: int) -> None:
         upsert(batch.sparkSession, base, spec, batch)

@@ -13,20 +13,20 @@ from gridmix.operators import quality, upsert, windows
 from gridmix.operators.conform import conform
 from gridmix.sources import payloads, tables
 from gridmix.sources.seeds import SCHEMAS, read_seed, seed
-from gridmix.specs import NATIONAL_TR, REGIONAL_CONS_DEF, SPECS, TEMPO, Column, DatasetSpec, Kind, layer_path
+from gridmix.specs import NATIONAL_TR, REGIONAL_CONS_DEF, SPECS, TEMPO, CONSTRAINTS, DATASETS, PART, Dataset, by_month, layer_path
 from gridmix.streaming.incremental import load_landed
 
 UTC = dt.timezone.utc
 NOW = dt.datetime(2026, 7, 1, 3, tzinfo=UTC)
-SMALL = DatasetSpec("Small set", (Column("date_heure", Kind.INSTANT), Column("code", Kind.CODE)), (Column("label", Kind.LABEL),), ("a", "b"))
+SMALL = Dataset("Small set", ("date_heure", "code"), ("label",), ("a", "b"), "date_heure", by_month("date_heure"))
 
 
 def test_specs():
-    assert SMALL.table_name == "small_set" and SMALL.instant == "date_heure" and SMALL.group_names == ["code"]
-    assert len(SPECS) == 7 and not SMALL.schema["code"].nullable and SMALL.schema["a"].dataType == T.DoubleType()
-    for keys, attributes in (((), ()), ((Column("a", Kind.INSTANT), Column("b", Kind.INSTANT)), ()), ((Column("a", Kind.CODE),), (Column("a", Kind.LABEL),))):
+    assert SMALL.table == "small_set" and SMALL.time == "date_heure" and SMALL.series == ["code"]
+    assert len(SPECS) == 7 and not SMALL.stored["code"].nullable and SMALL.stored["a"].dataType == T.DoubleType()
+    for key, texts, time in (((), (), None), (("a",), (), "t"), (("a",), ("a",), None)):
         with pytest.raises(ValueError):
-            DatasetSpec("x", keys, attributes)
+            Dataset("x", key, texts, (), time)
     with pytest.raises(ValueError):
         layer_path("/x", "copper", "t")
 
@@ -86,7 +86,7 @@ def test_conform(spark):
     c = conform(raw, SMALL, NOW)
     got = c.rows.orderBy("_seq").collect()
     assert c.missing == ["b"] and [(r.code, r.label, r.a, r.b) for r in got] == [("x", None, 1.5, None), ("x", "l", None, None)]
-    assert c.rows.drop("_seq").columns == SMALL.schema.fieldNames()
+    assert c.rows.drop("_seq").columns == SMALL.stored.fieldNames()
     assert (c.without_key.count(), c.in_gap.count()) == (2, 1)
     with pytest.raises(ValueError):
         conform(raw, SMALL, dt.datetime(2026, 1, 1))
@@ -101,7 +101,7 @@ def test_conform(spark):
 
 def batch(spark, rows):
     """(minute, a, b, hour of ingestion)"""
-    return spark.createDataFrame([(dt.datetime(2026, 7, 1, 0, m, tzinfo=UTC), "x", None, a, b, NOW + dt.timedelta(hours=h), "small", i) for i, (m, a, b, h) in enumerate(rows)], T.StructType([*SMALL.schema.fields]).add("_seq", "long"))
+    return spark.createDataFrame([(dt.datetime(2026, 7, 1, 0, m, tzinfo=UTC), "x", None, a, b, NOW + dt.timedelta(hours=h), "small", i) for i, (m, a, b, h) in enumerate(rows)], T.StructType([*SMALL.stored.fields]).add("_seq", "long"))
 
 
 def test_upsert(spark, tmp_path):
@@ -138,6 +138,61 @@ def test_ingest_and_stream(spark, tmp_path):
     assert tables.gold(spark, base, "t").count() == 2
 
 
+def test_upsert_reads_only_the_folders_of_the_batch(spark, tmp_path):
+    base = f"file://{tmp_path}"
+    day = lambda month: dt.datetime(2026, month, 5, tzinfo=UTC)
+    rows = lambda pairs: spark.createDataFrame([(day(m), "x", None, a, None, NOW, "small") for m, a in pairs], SMALL.stored)
+    upsert.upsert(spark, base, SMALL, rows([(5, 1.0), (6, 2.0), (7, 3.0)]))
+    plan = tables.parted(spark, base, SMALL).where(F.col(PART).isin("2026-06"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_part" in plan.replace("PartitionFilters: [_part", "PartitionFilters: [isnotnull(_part"), plan
+    assert "_part" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    path = tmp_path / "bronze" / "small_set"
+    before = {f: f.stat().st_mtime_ns for f in path.glob("_part=*/*.parquet")}
+    r = upsert.upsert(spark, base, SMALL, rows([(6, 9.0), (8, 4.0)]))
+    assert (r.rows_inserted, r.rows_updated) == (1, 1)
+    after = {f: f.stat().st_mtime_ns for f in path.glob("_part=*/*.parquet")}
+    same = {f for f in before if after.get(f) == before[f]}
+    assert {f.parent.name for f in same} == {"_part=2026-05", "_part=2026-07"}
+    assert sorted(r.a for r in tables.bronze(spark, base, SMALL).collect()) == [1.0, 3.0, 4.0, 9.0]
+
+
+def test_hot_folders_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "TASK_ROWS", 10)
+    base = f"file://{tmp_path}"
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # Spark puts so few bytes together again
+    spark.conf.set(key, "false")
+    try:
+        upsert.upsert(spark, base, SMALL, batch(spark, [(m, 1.0, None, 0) for m in range(50)]))
+    finally:
+        spark.conf.unset(key)
+    assert len(list((tmp_path / "bronze" / "small_set").glob("_part=2026-07/*.parquet"))) > 1 and tables.bronze(spark, base, SMALL).count() == 50
+
+
+def test_landing_tables_and_windows(spark, tmp_path):
+    base = f"file://{tmp_path}"
+    landed = upsert.land(batch(spark, []), f"{base}/landing", "run 1", NOW.date())
+    assert spark.read.parquet(landed).count() == 0 and list((tmp_path / "landing").glob("*/*/*.parquet"))  # an empty batch is landed
+    assert tables.ensure_tables(spark, base) == [d.table for d in DATASETS] and tables.ensure_tables(spark, base) == []
+    assert tables.bronze(spark, base, TEMPO).count() == 0
+    w = instants.TimeWindow.last_hours(3, NOW)
+    with pytest.raises(ValueError):
+        tables.bronze(spark, base, CONSTRAINTS, w)
+    upsert.upsert(spark, base, SMALL, batch(spark, [(0, 1.0, None, 0)]))
+    assert tables.bronze(spark, base, SMALL, w).count() == 1
+
+
+def test_geocoder_errors(spark):
+    feature = '{"features":[{"geometry":{"coordinates":[1.0,2.0]},"properties":%s}]}'
+    rows = [
+        (1, '{"features":[]}'), (2, feature % '{"score":0.9,"type":"street","context":"69, Rhône, Auvergne-Rhône-Alpes"}'), (3, feature % '{"citycode":"69123","context":"Rhône","score":0.4,"type":"street"}'),
+        (4, feature % '{"citycode":"97411","context":"974, La Réunion"}'), (5, feature % '{"citycode":"69123","score":0.39,"type":"housenumber","context":"69, Rhône, Auvergne-Rhône-Alpes"}'), (6, "no json"),
+    ]
+    got = {r.id: r for r in payloads.geocoded(spark.createDataFrame(rows, "id long, value string"), seed(spark, "dim_region")).collect()}
+    assert [got[i].erreur for i in range(1, 7)] == ["introuvable", "sans_commune", "contexte", None, None, "introuvable"]
+    assert (got[4].score, got[4].score_faible, got[4].precision_grossiere, got[4].code_departement, got[4].code_insee_region) == (0.0, True, True, "974", "04")
+    assert (got[5].score_faible, got[5].precision_grossiere, got[5].code_departement) == (True, False, "69") and got[3].score_faible is False
+
+
 def test_windows_of_time():
     now = dt.datetime(2026, 10, 8, 12, tzinfo=UTC)
     assert instants.TimeWindow.last_hours(3, now).start == now - dt.timedelta(hours=3)
