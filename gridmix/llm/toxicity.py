@@ -285,7 +285,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, rows: int = TRA
     names = [r["feature"] for r in by.orderBy(F.abs(z).desc(), "feature").limit(FEATURES).select("feature").collect()]
     place = {f: i for i, f in enumerate(names)}
     picked = F.array_sort(F.array_intersect("found", F.array(*map(F.lit, names)).cast("array<string>")))
-    rows_found = seen.select("toxic", picked.alias("found")).orderBy("found", "toxic").collect()  # ``rows`` at most
+    rows_found = sorted(seen.select("found", "toxic").withColumn("found", picked).collect())  # ``rows`` at most
     x, y = np.zeros((len(rows_found), len(names) + 1), np.float32), np.array([r["toxic"] for r in rows_found], float)
     x[:, -1] = 1
     for i, r in enumerate(rows_found):
