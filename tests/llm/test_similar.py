@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -47,11 +48,30 @@ def edited_rows():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("small", [similar.SMALL, 16])
-def test_all_near_copies_are_found(spark, small):
+@pytest.mark.parametrize("small, hot", [(similar.SMALL, similar.HOT), (16, similar.HOT), (similar.SMALL, 5)])
+def test_all_near_copies_are_found(spark, small, hot):
     for rows in (edited_rows(), [r for r in near_rows() if r[0] is not None]):
         df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-        assert sorted(r["doc_id"] for r in similar.keep_one(df, small).collect()) == plain_kept(rows)
+        assert sorted(r["doc_id"] for r in similar.keep_one(df, small, hot).collect()) == plain_kept(rows)
+
+
+def test_marks_never_exclude_a_link():
+    rng = np.random.default_rng(3)
+    for size in (1, 9, 40, 400, 4000):
+        for share in (0.0, 0.8, 0.9, 1.0):
+            h = rng.integers(0, 1 << 63, 2 * size).astype(np.uint64)
+            both = int(size * share + 0.999)
+            sets = [set(h[:size].tolist()), set(h[size - both : 2 * size - both].tolist())]
+            marks = np.zeros((2, similar.MARKS // 64), np.uint64)
+            for own, x in zip(marks, sets):
+                for v in x:
+                    own[v % similar.MARKS // 64] ^= np.uint64(1 << v % 64)
+            n = np.array([len(x) for x in sets])
+            found = similar.possible(n, np.zeros(2, np.int64), marks, np.array([0]), np.array([1]))
+            if len(sets[0] & sets[1]) * 5 >= len(sets[0] | sets[1]) * 4:
+                assert len(found) == 1
+            elif share == 0 and 9 <= size <= 400:
+                assert len(found) == 0
 
 
 def test_stage_finds_what_three_bits_miss(spark):
