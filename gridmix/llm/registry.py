@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import corpus_pipeline
 
-from gridmix.llm import collocations, decontam, mixing, packing, quality, repeats, secrets, simhash, tokens, toxicity, warc
+from gridmix.llm import collocations, decontam, mixing, packing, quality, repeats, secrets, simhash, tokens, toxicity, warc, whitening
 
 QUERIES: dict[str, Callable] = {
     "pipeline": corpus_pipeline.run,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable] = {
     "op8_packing": packing.query,
     "op9_language_model": mixing.query,
     "op10_warc": warc.query,
+    "op11_whitening": whitening.query,
     "op13_collocations": collocations.query,
 }
 SQL: dict[str, str] = {"op2_decontamination": decontam.SQL, "op6_quality_rules": quality.SQL, "op10_warc": warc.SQL, "op13_collocations": collocations.SQL}
