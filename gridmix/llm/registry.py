@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import corpus_pipeline
 
-from gridmix.llm import collocations, decontam, mixing, packing, quality, repeats, secrets, simhash, tokens, toxicity, warc, whitening
+from gridmix.llm import collocations, decontam, mixing, packing, projections, quality, repeats, secrets, simhash, tokens, toxicity, warc, whitening
 
 QUERIES: dict[str, Callable] = {
     "pipeline": corpus_pipeline.run,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable] = {
     "op9_language_model": mixing.query,
     "op10_warc": warc.query,
     "op11_whitening": whitening.query,
+    "op12_embedding_duplicates": projections.query,
     "op13_collocations": collocations.query,
 }
-SQL: dict[str, str] = {"op2_decontamination": decontam.SQL, "op6_quality_rules": quality.SQL, "op10_warc": warc.SQL, "op13_collocations": collocations.SQL}
+SQL: dict[str, str] = {"op2_decontamination": decontam.SQL, "op6_quality_rules": quality.SQL, "op10_warc": warc.SQL, "op12_embedding_duplicates": projections.SQL, "op13_collocations": collocations.SQL}
