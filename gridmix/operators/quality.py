@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -84,3 +85,15 @@ def month_coverage(df: DataFrame, instant: str, minutes: int, today: Column, lea
     full = last.join(found, "mois", "left").select("mois", F.coalesce("nb_instants", F.lit(0)).alias("nb_instants"), month_slots(F.col("mois"), minutes).alias("nb_attendus"))
     out = full.withColumn("couverture", F.col("nb_instants") / F.col("nb_attendus"))
     return out.withColumn("verdict", F.when(F.col("couverture") >= least, "ok").otherwise("incomplet"))
+
+
+def unsorted_files(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Files of a stored table whose rows don't stand in the order of their keys, with the number of rows that break it.
+    The window is cut by file and by blocks of rows, so a large file isn't one group; first rows of blocks are compared
+    with the last ones of the blocks before."""
+    at = rows.select("_metadata.file_path", "_metadata.row_index", F.struct(*keys).alias("k")).withColumn("block", F.floor(F.col("row_index") / 100_000))
+    own = W.partitionBy("file_path", "block").orderBy("row_index")
+    inside = at.withColumn("before", F.lag("k").over(own)).where(F.col("k") < F.col("before")).groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    ends = at.groupBy("file_path", "block").agg(F.min_by("k", "row_index").alias("first"), F.max_by("k", "row_index").alias("last"))
+    edges = ends.withColumn("before", F.lag("last").over(W.partitionBy("file_path").orderBy("block"))).where(F.col("first") < F.col("before")).groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    return inside.unionByName(edges).groupBy("file_path").agg(F.sum("n").alias("n"))

@@ -19,13 +19,14 @@ def measured_series(bronze: DataFrame, minutes: int, details: bool = False) -> D
     return rows.select("date_heure", quality.alias("qualite"), quality_rank(quality).alias("rang_qualite"), F.lit(minutes).alias("pas_minutes"), *measures, "source_dataset", "ingested_at_utc")
 
 
-def unified(consolidated: DataFrame, real_time: DataFrame) -> DataFrame:
+def unified(consolidated: DataFrame, real_time: DataFrame, last: DataFrame | None = None) -> DataFrame:
     """All consolidated rows, and real-time rows from half an hour after the last of them (all, if there are none).
 
-    The cut is by period: holes before it are never filled from the other quality.
+    The cut is by period: holes before it are never filled from the other quality. If only some months are given,
+    ``last`` has the last consolidated instant of all.
     """
     columns = ["date_heure", "qualite", "rang_qualite", "pas_minutes", *SHARED_MEASURES, "source_dataset", "ingested_at_utc"]
-    bound = consolidated.agg((F.max("date_heure") + F.make_dt_interval(mins=F.lit(30))).alias("_from"))
+    bound = (last or consolidated).agg((F.max("date_heure") + F.make_dt_interval(mins=F.lit(30))).alias("_from"))
     later = real_time.crossJoin(F.broadcast(bound)).where(F.col("_from").isNull() | (F.col("date_heure") >= F.col("_from")))  # one row
     return consolidated.select(*columns).unionByName(later.select(*columns))
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StringType, StructType
 
 from gridmix.functions.instants import TimeWindow
@@ -36,11 +37,16 @@ def bronze(spark: SparkSession, base: str, spec: Dataset, window: TimeWindow | N
     return (windowed(rows, spec, window) if window else rows).drop(PART)
 
 
-def windowed(rows: DataFrame, spec: Dataset, window: TimeWindow) -> DataFrame:
-    """Rows of a time window. A dataset without instants has none: an error, before any job."""
+def timed(spec: Dataset) -> str:
+    """The column of a dataset's instants. Without one there are no windows: an error, before any job."""
     if spec.time is None:
         raise ValueError(f"{spec.name} has no instants: it is read whole, not by a window")
-    return rows.where(window.holds(spec.time))
+    return spec.time
+
+
+def windowed(rows: DataFrame, spec: Dataset, window: TimeWindow) -> DataFrame:
+    """Rows of a time window."""
+    return rows.where(window.holds(timed(spec)))
 
 
 def ensure_tables(spark: SparkSession, base: str, datasets: tuple[Dataset, ...] = DATASETS) -> list[str]:
@@ -58,15 +64,41 @@ def ensure_tables(spark: SparkSession, base: str, datasets: tuple[Dataset, ...]
     return made
 
 
-def gold(spark: SparkSession, base: str, name: str) -> DataFrame:
+def stored(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
     try:
-        return spark.read.parquet(layer_path(base, "gold", name))
+        return spark.read.option("partitionColumnTypeInference", "false").parquet(layer_path(base, layer, name))
     except AnalysisException as e:
         if _absent(e):
-            raise MissingTable(f"gold table {name} has not been built under {base}") from e
+            raise MissingTable(f"{layer} table {name} has not been built under {base}") from e
         raise
 
 
+def exists(spark: SparkSession, base: str, layer: str, name: str) -> bool:
+    try:
+        stored(spark, base, layer, name)
+        return True
+    except MissingTable:
+        return False
+
+
+def seen(observation: Observation) -> dict:
+    """What an observation saw. Without any row Spark may leave its part of the plan out: then it saw nothing."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of any file system that Spark reads, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def gold(spark: SparkSession, base: str, name: str) -> DataFrame:
+    return stored(spark, base, "gold", name)
+
+
 def write_full(df: DataFrame, base: str, layer: str, name: str) -> None:
     """Full rebuild of one silver or gold table."""
     df.write.mode("overwrite").parquet(layer_path(base, layer, name))

@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,16 +157,74 @@ def test_upsert_reads_only_the_folders_of_the_batch(spark, tmp_path):
     assert sorted(r.a for r in tables.bronze(spark, base, SMALL).collect()) == [1.0, 3.0, 4.0, 9.0]
 
 
-def test_hot_folders_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(upsert, "TASK_ROWS", 10)
+def test_folders_are_dealt_by_size(spark, tmp_path):
+    """A large folder is written by several tasks, small ones by one each: files follow the rows of their own folder."""
     base = f"file://{tmp_path}"
-    key = "spark.sql.adaptive.coalescePartitions.enabled"  # Spark puts so few bytes together again
-    spark.conf.set(key, "false")
+    own = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    at = lambda month, i: dt.datetime(2026, month, 5, i // 3600 % 24, i // 60 % 60, i % 60, tzinfo=UTC)
+    rows = [(at(7, i), f"code {i * 7919 % 10007}", f"label {i * i % 9973}", float(i), None, NOW, "small") for i in range(9000)]
+    rows += [(at(m, 0), "x", None, 1.0, None, NOW, "small") for m in (1, 2, 3, 4, 5)]
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
-        upsert.upsert(spark, base, SMALL, batch(spark, [(m, 1.0, None, 0) for m in range(50)]))
+        upsert.upsert(spark, base, SMALL, spark.createDataFrame(rows, SMALL.stored).repartition(4))
     finally:
-        spark.conf.unset(key)
-    assert len(list((tmp_path / "bronze" / "small_set").glob("_part=2026-07/*.parquet"))) > 1 and tables.bronze(spark, base, SMALL).count() == 50
+        for k in own:
+            spark.conf.unset(k)
+    folder = tmp_path / "bronze" / "small_set"
+    files = {f.name: len(list(f.glob("*.parquet"))) for f in folder.glob("_part=*")}
+    assert files.pop("_part=2026-07") > 2 and set(files.values()) == {1} and tables.bronze(spark, base, SMALL).count() == 9005
+    assert quality.unsorted_files(tables.parted(spark, base, SMALL), list(SMALL.key)).count() == 0
+
+
+def test_one_scan_of_the_touched_folders(spark, tmp_path):
+    base = f"file://{tmp_path}"
+    upsert.upsert(spark, base, SMALL, batch(spark, [(0, 1.0, None, 0), (15, 2.0, None, 0)]))
+    plan = upsert.one_merge(tables.parted(spark, base, SMALL).where(F.col(PART).isin("2026-07")), batch(spark, [(15, 3.0, None, 0)]).drop("_seq"), SMALL, Observation())
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1 and "PartitionFilters: [" in text and text.count("FullOuter") >= 1
+
+
+def test_unchanged_folders_are_left_alone(spark, tmp_path):
+    """24 months are read again, one of them revised: only that one is written."""
+    base = f"file://{tmp_path}"
+    at = lambda k: dt.datetime(2024 + k // 12, k % 12 + 1, 5, tzinfo=UTC)
+    rows = lambda value, later=0: spark.createDataFrame([(at(k), c, None, value(k), None, NOW + dt.timedelta(days=later), "small") for k in range(24) for c in "xy"], SMALL.stored)
+    upsert.upsert(spark, base, SMALL, rows(float))
+    path = tmp_path / "bronze" / "small_set"
+    times = lambda: {f.parent.name: f.stat().st_mtime_ns for f in path.glob("_part=*/*.parquet")}
+    before = times()
+    r = upsert.upsert(spark, base, SMALL, rows(lambda k: -1.0 if k == 17 else float(k), 30), skip_unchanged=True)
+    assert r.touched == ("2025-06",) and len(r.unchanged) == 23 and (r.rows_in_batch, r.rows_merged, r.rows_updated, r.rows_inserted) == (48, 48, 48, 0)
+    assert {p for p, t in times().items() if before[p] != t} == {"_part=2025-06"}
+    got = tables.bronze(spark, base, SMALL)
+    assert got.where("a = -1").count() == 2 and got.count() == 48 and got.where("ingested_at_utc > '2026-07-15'").count() == 2
+    r = upsert.upsert(spark, base, SMALL, rows(float).limit(3), skip_unchanged=True)  # parts of folders are merged as ever
+    assert (r.rows_merged, r.rows_inserted) == (3, 0) and tables.bronze(spark, base, SMALL).count() == 48
+
+
+def test_ingest_counts_what_it_leaves_out(spark, tmp_path):
+    base = f"file://{tmp_path}"
+    rows = [("2026-07-01T00:00Z", "x", "1.5", 0), ("2026-07-01T00:15Z", "x", "n/a", 1), ("2026-07-01T00:30Z", " ", "1", 2), (None, "x", "1", 3), ("2026-03-29T02:30", "x", "?", 4), ("2026-07-02T00:00Z", "x", " ", 5)]
+    raw = spark.createDataFrame(rows, "date_heure string, code string, a string, _seq long")
+    got = upsert.ingest(spark, base, SMALL, raw, NOW, "one")
+    assert (got["records"], got["rows"], got["without_key"], got["in_gap"], got["unreadable"], got["missing"], got["touched"]) == (6, 3, 2, 1, {"a": 2}, ["label", "b"], ("2026-07",))
+    w = instants.TimeWindow(dt.datetime(2026, 7, 1, tzinfo=UTC), dt.datetime(2026, 7, 2, tzinfo=UTC))
+    assert upsert.ingest(spark, base, SMALL, raw, NOW, "two", w)["rows"] == 2
+    nothing = upsert.ingest(spark, base, SMALL, raw.limit(0), NOW, "none")
+    assert (nothing["records"], nothing["rows"], nothing["touched"]) == (0, 0, ())
+    with pytest.raises(ValueError, match="no instants"):
+        upsert.ingest(spark, base, CONSTRAINTS, spark.createDataFrame([("x",)], "region string"), NOW, "w", w)
+    assert not (tmp_path / "landing" / CONSTRAINTS.table).exists()
+
+
+def test_stream_keeps_the_last_to_arrive(spark, tmp_path):
+    base = f"file://{tmp_path}"
+    seen = []
+    batch(spark, [(0, float(i), None, 0) for i in range(40)]).repartition(4).write.parquet(f"{base}/streamed")
+    load_landed(spark, base, SMALL, f"{base}/streamed", f"{base}/checkpoint", seen.append).awaitTermination()
+    assert [r.a for r in tables.bronze(spark, base, SMALL).collect()] == [39.0]
+    assert [(r.rows_in_batch, r.touched) for r in seen] == [(40, ("2026-07",))]
 
 
 def test_landing_tables_and_windows(spark, tmp_path):
