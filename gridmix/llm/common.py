@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,39 @@ def staged(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark)
     (df.select(*columns) if columns else df).write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.select(*columns).schema if columns else df.schema).parquet(path)
+    out = spark.read.schema(df.select(*columns).schema if columns else df.schema).parquet(path)
+    out.staged_at = path
+    for paths in _scratch[-1:]:
+        paths.append(path)
+    return out
+
+
+#: Folders staged within open ``scratch`` blocks.
+_scratch: list[list[str]] = []
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the folders of staged tables that nothing reads any more."""
+    for df in frames:
+        _remove(df.sparkSession, df.staged_at)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables staged in the block are removed at its end, but for those put into the list it gives. What leaves the
+    block must be computed from these alone."""
+    kept: list[DataFrame] = []
+    _scratch.append([])
+    try:
+        yield kept
+    finally:
+        for path in set(_scratch.pop()) - {df.staged_at for df in kept}:
+            _remove(spark, path)
 
 
 def hashed_share(df: DataFrame, n: int, most: int, *columns: str) -> DataFrame:
@@ -93,7 +126,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components by alternating large-star and small-star steps: (node, root), root the least node reached.
 
     ``edges`` has columns a and b of one orderable type. Nodes on no edge are not returned. Every round is written to
-    the shared folder; a sum of hashes of the edges decides when to stop. The least neighbours are stored before they
+    the shared folder, and the one before removed; a sum of hashes of the edges decides when to stop. The least neighbours are stored before they
     are joined, so both sides of the joins are plain shuffles and Spark splits those of a node with very many edges.
     """
     spark = edges.sparkSession
@@ -105,11 +138,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: every smaller neighbour and the node itself are linked to the least.
-        large = large.where("a <> b").distinct()
-        large = staged(large)
+        large = staged(large.where("a <> b").distinct())
+        discard(now, least)
         least = staged(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         now = staged(small.where("a <> b").distinct())
+        discard(large, least)
         state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

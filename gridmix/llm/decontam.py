@@ -46,12 +46,12 @@ def word_ranges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
-def shingles(raw: np.ndarray, offsets: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+def shingles(raw: np.ndarray, offsets: np.ndarray, k: int = WORDS, word_hashes=lambda low, start, end: Ranges(low).hash(start, end)) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every shingle, repeats included, of rows given as bytes and offsets."""
     low = np.where((raw >= 65) & (raw <= 90), raw + 32, raw)
     start, end = word_ranges(low, offsets)
     row = np.searchsorted(offsets, start, side="right") - 1
-    word = Ranges(low).hash(start, end)
+    word = word_hashes(low, start, end)
     n = len(word)
     rows, out = [], []
     if n >= k:

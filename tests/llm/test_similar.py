@@ -1,6 +1,7 @@
 """Near copies by exact similarity of five-word shingles: all pairs compared by brute force."""
 
 import itertools
+import os
 import random
 
 import numpy as np
@@ -85,3 +86,29 @@ def test_stage_finds_what_three_bits_miss(spark):
 def test_odd_rows(spark, docs, empty):
     assert similar.keep_one(docs).columns == docs.columns and similar.keep_one(empty).count() == 0
     assert similar.keep_one(docs.where("doc_id IS NULL")).count() == 1
+
+
+def test_unlike_texts_stay(spark):
+    """Words that collide under every polynomial hash modulo 2**64 are still different words."""
+    morse = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    rows = [(1, morse), (2, other), (3, "hello"), (4, f"{morse} one two three four five"), (5, f"{other} one two three four five"), (6, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in similar.keep_one(df).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_equal_sums_of_unequal_sets(spark, monkeypatch):
+    """With sums of hashes that are all equal, texts are told apart by their shingles."""
+    monkeypatch.setattr(similar, "mixed", lambda h: h * np.uint64(0))
+    rows = [(i, t) for i, t in edited_rows() if i % 3 == 0]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert sorted(r["doc_id"] for r in similar.keep_one(df).collect()) == plain_kept(rows)
+
+
+def test_staged_tables_go(spark):
+    from gridmix.llm import common
+
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(base))
+    out = similar.keep_one(spark.createDataFrame(edited_rows(), "doc_id long, text string"))
+    assert len(set(os.listdir(base)) - before) == 2 and out.count() and not common._scratch
