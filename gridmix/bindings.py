@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,10 @@ from pyspark.sql import types as T
 from gridmix.functions import instants, text
 from gridmix.operators import quality, upsert, windows
 from gridmix.operators.conform import conform
-from gridmix.plans import gold, report, silver, territory
+from gridmix.plans import gold, rebuild, report, silver, territory
 from gridmix.sources import payloads, tables
-from gridmix.sources.seeds import seed
-from gridmix.specs import DETAIL_MEASURES, NATIONAL_CONS_DEF, NATIONAL_TR, SEASONS, SHARED_MEASURES, SOURCES, Dataset, by_month
+from gridmix.sources.seeds import read_seed, seed
+from gridmix.specs import BALANCE, CONSTRAINTS, DATASETS, DETAIL_MEASURES, IRIS, NATIONAL_CONS_DEF, NATIONAL_TR, SEASONS, SHARED_MEASURES, SOURCES, TEMPO, Dataset, by_month
 from gridmix.streaming.incremental import load_landed
 
 #: Events are moved by so many days, to a spring with a change of the clock and published tariffs.
@@ -376,9 +377,9 @@ def ingested(spark, d):
     rows = []
     for i, (r, run) in enumerate(runs):
         x = upsert.ingest(spark, base, ORDERS, r, LOADED, run)
-        rows.append((i, x["rows"], x["rows_inserted"], x["rows_updated"]))
+        rows.append((i, x["rows"], x["rows_inserted"], x["rows_updated"], x["records"], x["without_key"], x["in_gap"], x["unreadable"]["o_totalprice"], len(x["touched"])))
     stored = tables.bronze(spark, base, ORDERS)
-    made = spark.createDataFrame(rows, "charge int, lignes long, inserees long, mises_a_jour long")
+    made = spark.createDataFrame(rows, "charge int, lignes long, inserees long, mises_a_jour long, lues long, sans_cle long, heure_inexistante long, illisibles long, dossiers long")
     return made.crossJoin(stored.agg(F.count(F.lit(1)).alias("en_base"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("montant")))  # three rows and one
 
 
@@ -390,7 +391,7 @@ def exported(spark, d):
     return payloads.read_delimited(spark, folder).select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", text.to_measure(F.col("c_acctbal")).alias("c_acctbal"))
 
 
-def rebuilt_gold(spark, d):
+def rewritten_gold(spark, d):
     """A gold table written in full twice, then read back."""
     base = shared(spark, "gold")
     for _ in range(2):
@@ -398,6 +399,144 @@ def rebuilt_gold(spark, d):
     return tables.gold(spark, base, "nations")
 
 
+def texts_of(rows: DataFrame, spec: Dataset) -> DataFrame:
+    """Typed rows as the records of an export: texts, instants with their offset."""
+    as_text = lambda c, t: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'") if isinstance(t, T.TimestampType) else F.col(c).cast("string")
+    return rows.select(*(as_text(f.name, f.dataType).alias(f.name) for f in rows.schema if f.name in spec.columns))
+
+
+def series_records(spark, d) -> dict[Dataset, DataFrame]:
+    return {NATIONAL_CONS_DEF: bronze_series(spark, d, NATIONAL_CONS_DEF, 30), NATIONAL_TR: bronze_series(spark, d, NATIONAL_TR, 15), TEMPO: bronze_tempo(spark, d)}
+
+
+def load_all(spark, d, base):
+    """All six datasets from text records through conform, landing and upsert."""
+    others = {IRIS: bronze_areas(spark, d), BALANCE: bronze_balance(spark, d), CONSTRAINTS: bronze_constraints(spark, d)}
+    return [upsert.ingest(spark, base, spec, texts_of(rows, spec), LOADED, "whole") for spec, rows in {**series_records(spark, d), **others}.items()]
+
+
+#: A measure of each stored table whose sum is reported.
+FIGURES = {
+    "mix_temps_reel": "consommation", "mix_consolide": "consommation", "mix_unifie": "consommation", "jours_tempo": "length(couleur)", "conso_industrielle": "consommation_electricite_mwh", "equilibre_mensuel": "consommation_brute_mwh",
+    "contraintes_reseau": "energie_non_evacuee_hiver_mwh", "production": "energie_mwh", "mix": "production_totale_mw", "mix_journalier": "consommation_gwh", "creneaux": "taux_co2_g_kwh", "cout_horaire": "cout_htva_eur", "cout_mensuel": "conso_kwh",
+    "pression_commune": "consommation_electricite_mwh", "pression_departement": "consommation_electricite_mwh", "tension_region": "consommation_gwh", "territoire": "conso_industrielle_departement_gwh",
+}
+
+
+def rebuilt(spark, d):
+    """All silver and gold tables from landed files, each stored once: rows and a sum of each table."""
+    base = shared(spark, "rebuild")
+    load_all(spark, d, base)
+    rebuild.rebuild(spark, base)
+    store = rebuild.Store(spark, base)
+    sums = [store.read(n).agg(F.lit(n).alias("produit"), F.count(F.lit(1)).alias("lignes"), F.round(F.sum(F.expr(c)).cast("double"), 3).alias("somme")) for n, c in FIGURES.items()]
+    return reduce(DataFrame.unionByName, sums)
+
+
+def revised(spark, d):
+    """Series loaded with figures that are wrong for some days, then those days again: gold slots after a refresh of
+    the months that the second load touched, and how many months that was (R1, R2)."""
+    base = shared(spark, "revised")
+    late = F.col("date_heure").cast("timestamp_ntz") >= F.lit(dt.datetime(2026, 4, 8))
+    wrong = lambda rows: rows.withColumns({c: F.when(late, F.col(c) + 1000).otherwise(F.col(c)) for c in ("consommation", "gaz", "taux_co2") if c in rows.columns})
+    right = series_records(spark, d)
+    for spec, rows in right.items():
+        upsert.ingest(spark, base, spec, texts_of(wrong(rows), spec), LOADED, "wrong")
+    whole = {spec.table: rebuild.WHOLE for spec in right}
+    rebuild.refresh(spark, base, whole)
+    touched = {spec.table: set(upsert.ingest(spark, base, spec, texts_of(rows.where(late), spec), LOADED, "right")["touched"]) for spec, rows in right.items() if spec is not TEMPO}
+    done = rebuild.refresh(spark, base, touched)
+    return rebuild.Store(spark, base).read("creneaux").withColumn("mois_refaits", F.lit(len(done["creneaux"])))
+
+
+ORDERS_BY_MONTH = Dataset("orders_by_month", ("o_orderdate", "o_orderkey"), ("o_orderstatus",), ("o_totalprice",), "o_orderdate", by_month("o_orderdate"))
+
+
+def reread(spark, d):
+    """24 months of orders read again, of which one has been revised: what every month holds, and whether its folder was
+    written again (R3)."""
+    base = shared(spark, "reread")
+    o = read(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    window = instants.TimeWindow.last_months(24, dt.datetime(1998, 5, 1, tzinfo=dt.timezone.utc))
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    upsert.ingest(spark, base, ORDERS_BY_MONTH, texts_of(o, ORDERS_BY_MONTH), LOADED, "all")
+    again = o.withColumn("o_totalprice", F.col("o_totalprice") + F.when(month == "1997-11", 1).otherwise(0))
+    whole_months = F.date_trunc("month", F.lit(window.start) + F.make_dt_interval(days=F.lit(1)))  # folders are months in UTC
+    done = upsert.ingest(spark, base, ORDERS_BY_MONTH, texts_of(again.where(F.col("o_orderdate") >= whole_months), ORDERS_BY_MONTH), LOADED + dt.timedelta(days=1), "again", instants.TimeWindow(window.start, window.end), skip_unchanged=True)
+    stored = tables.bronze(spark, base, ORDERS_BY_MONTH).groupBy(month.alias("mois")).agg(F.count(F.lit(1)).alias("lignes"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("montant"))
+    return stored.withColumns({"inchange": F.col("mois").isin(*done["unchanged"]), "ecrit": F.col("mois").isin(*done["touched"])})
+
+
+def seeds_from_files(spark, d):
+    """Departments and regions from edited CSV copies of the seeds, typed as declared, with the customers of each."""
+    base = shared(spark, "seeds")
+    for name in ("dim_departement", "dim_region"):
+        seed(spark, name).coalesce(1).write.option("header", True).csv(f"{base}/{name}")
+    departments, regions = (read_seed(spark, f"{base}/{name}", name) for name in ("dim_departement", "dim_region"))
+    c = read(spark, d, "customer").groupBy(F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0").alias("code_departement")).agg(F.count(F.lit(1)).alias("clients"))
+    return c.join(departments, "code_departement").join(regions, "code_insee_region").select("code_departement", "departement", "region", "est_zni", "clients")
+
+
+def guarded(spark, d):
+    """Loads with a window: rows outside it are left out; a dataset without instants is an error before any job."""
+    base = shared(spark, "guard")
+    window = instants.TimeWindow(dt.datetime(1996, 3, 1, tzinfo=dt.timezone.utc), dt.datetime(1997, 3, 1, tzinfo=dt.timezone.utc))
+    o = texts_of(read(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp")), ORDERS_BY_MONTH)
+    rows = []
+    for spec, records in ((ORDERS_BY_MONTH, o), (BALANCE, texts_of(bronze_balance(spark, d), BALANCE))):
+        try:
+            done = upsert.ingest(spark, base, spec, records, LOADED, "window", window)
+            rows.append((spec.name, False, done["records"], done["rows"]))
+        except ValueError:
+            rows.append((spec.name, True, None, None))
+    made = spark.createDataFrame(rows, "jeu string, refuse boolean, lus long, charges long")
+    return made.crossJoin(tables.bronze(spark, base, ORDERS_BY_MONTH).agg(F.min("o_orderdate").alias("premier"), F.max("o_orderdate").alias("dernier")))  # two rows and one
+
+
+def ensured(spark, d):
+    """Every bronze table exists after one dataset was loaded: which were made empty, and the rows of each (K4)."""
+    base = shared(spark, "ensured")
+    upsert.ingest(spark, base, NATIONAL_TR, texts_of(bronze_series(spark, d, NATIONAL_TR, 15), NATIONAL_TR), LOADED, "tr")
+    made = tables.ensure_tables(spark, base)
+    counts = [tables.bronze(spark, base, s).agg(F.lit(s.name).alias("jeu"), F.lit(s.table in made).alias("creee"), F.count(F.lit(1)).alias("lignes")) for s in DATASETS]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def latest_complete_month(spark, d):
+    """Orders by month and priority as a profile's monthly figures, some incomplete or without a cost: the last month that
+    counts (F9, T4)."""
+    o = read(spark, d, "orders").groupBy(F.trunc("o_orderdate", "MM").alias("mois")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("x"))
+    m = F.month("mois")
+    months = o.select(
+        F.explode(F.array(F.lit("bureau_36kva"), F.lit("autre"))).alias("profil"), "mois", (m % 4 != 0).alias("est_complet"), F.col("n").cast("double").alias("conso_kwh"), (m / 12).alias("part_hc"), F.when(m % 4 != 3, F.col("x")).alias("cout_htva_eur"),
+        *(F.col("n").cast("double").alias(c) for c in ("prix_moyen_htva_eur_kwh", "intensite_moyenne_g_kwh", "kwh_decales", "gain_decalage_eur", "co2_evite_kg")),
+    )
+    return territory.latest_priced_month(months.where("mois < date'1998-05-01' or profil = 'autre'"), seed(spark, "profils_consommation"))
+
+
+def sorted_files(spark, d):
+    """Whether the files of an upserted table are in order, and those of its rows written from last to first (P10)."""
+    base = shared(spark, "sorted")
+    o = read(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    upsert.ingest(spark, base, ORDERS_BY_MONTH, texts_of(o, ORDERS_BY_MONTH), LOADED, "all")
+    stored = tables.parted(spark, base, ORDERS_BY_MONTH)
+    stored.sortWithinPartitions(F.desc("o_orderkey")).write.parquet(f"{base}/reversed")
+    rows = []
+    for name, t, keys in (("base", stored, ["o_orderdate", "o_orderkey"]), ("inverse", spark.read.parquet(f"{base}/reversed"), ["o_orderkey"])):
+        broken = quality.unsorted_files(t, keys).agg((F.count(F.lit(1)) == 0).alias("en_ordre"))
+        rows.append(t.agg(F.lit(name).alias("jeu"), F.count(F.lit(1)).alias("lignes")).crossJoin(broken))  # one row each
+    return reduce(DataFrame.unionByName, rows)
+
+
+def month_report(spark, d):
+    """The carbon section of one month, from stored slots of which only that month's folder is read."""
+    base = shared(spark, "report")
+    for spec, rows in series_records(spark, d).items():
+        upsert.ingest(spark, base, spec, texts_of(rows, spec), LOADED, "all")
+    rebuild.refresh(spark, base, {spec.table: rebuild.WHOLE for spec in (NATIONAL_CONS_DEF, NATIONAL_TR, TEMPO)})
+    return rebuild.section(spark, base, "carbone", "2026-04", "2026-04")
+
+
 def best_and_worst(spark, d):
     h = hourly(spark, d)
     return report.best_windows(h).withColumn("sens", F.lit("meilleur")).unionByName(report.worst_windows(h).withColumn("sens", F.lit("pire")))
@@ -464,7 +603,16 @@ _BOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r1_incremental": incremental,
     "m25_ingest": ingested,
     "s1_export": exported,
-    "k5_full_rebuild": rebuilt_gold,
+    "s8_gold_table": rewritten_gold,
+    "k5_full_rebuild": rebuilt,
+    "r2_late_revision": revised,
+    "r3_reread": reread,
+    "f4_month_report": month_report,
+    "s6_seed_files": seeds_from_files,
+    "s12_guard": guarded,
+    "k4_tables": ensured,
+    "f9_latest_month": latest_complete_month,
+    "p10_sorted_files": sorted_files,
 }
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 
-from gridmix.bindings import REGION_CODES, SHIFT_DAYS
+from gridmix.bindings import FIGURES, REGION_CODES, SHIFT_DAYS
 from gridmix.functions.text import MARKED, PLAIN
 from gridmix.sources.seeds import SCHEMAS, rows_of
-from gridmix.specs import SEASONS, SOURCES
+from gridmix.specs import DATASETS, SEASONS, SOURCES
 
 
 def _literal(v) -> str:
@@ -260,10 +260,35 @@ QUERY = {
       SELECT m AS mois, (SELECT count(DISTINCT date_heure) FROM cons WHERE date_trunc('month', {paris('date_heure')})::DATE = m) AS n, {month_hours('m')} * 2 AS a FROM (
       SELECT CASE WHEN max(d) = DATE '2026-04-01' THEN (max(d) - INTERVAL 1 MONTH)::DATE ELSE max(d) END AS m FROM (SELECT date_trunc('month', {paris('date_heure')})::DATE AS d FROM cons)))""",
     "r1_incremental": "SELECT ts, event_id::VARCHAR AS event_id, event_type, round(CASE WHEN event_type = 'click' THEN value + 1 ELSE value END, 6) AS value FROM events",
-    "m25_ingest": f"""SELECT charge::INT AS charge, CASE WHEN charge < 2 THEN n ELSE 0 END AS lignes, CASE WHEN charge = 0 THEN n ELSE 0 END AS inserees, CASE WHEN charge = 1 THEN n ELSE 0 END AS mises_a_jour, n AS en_base, montant FROM (VALUES (0), (1), (2)) AS c(charge),
-      (SELECT count(*) AS n, sum(CASE WHEN k % 13 <> 0 AND k % 17 <> 0 THEN round(o_totalprice, 2)::DECIMAL(18, 2) END)::DOUBLE AS montant FROM rec WHERE k % 19 <> 0 AND (aware OR {paris(utc('t'))} = t))""",
+    "m25_ingest": f"""SELECT charge::INT AS charge, CASE WHEN charge < 2 THEN n ELSE 0 END AS lignes, CASE WHEN charge = 0 THEN n ELSE 0 END AS inserees, CASE WHEN charge = 1 THEN n ELSE 0 END AS mises_a_jour, n AS en_base, montant,
+      CASE WHEN charge < 2 THEN lues ELSE 0 END AS lues, CASE WHEN charge < 2 THEN sans_cle ELSE 0 END AS sans_cle, CASE WHEN charge < 2 THEN trou ELSE 0 END AS heure_inexistante, CASE WHEN charge < 2 THEN illisibles ELSE 0 END AS illisibles,
+      CASE WHEN charge < 2 THEN dossiers ELSE 0 END AS dossiers FROM (VALUES (0), (1), (2)) AS c(charge),
+      (SELECT count(*) FILTER (WHERE ok AND k % 19 <> 0) AS n, sum(CASE WHEN ok AND k % 19 <> 0 AND k % 13 <> 0 AND k % 17 <> 0 THEN round(o_totalprice, 2)::DECIMAL(18, 2) END)::DOUBLE AS montant, count(*) AS lues, count(*) FILTER (WHERE ok AND k % 19 = 0) AS sans_cle,
+        count(*) FILTER (WHERE NOT ok) AS trou, count(*) FILTER (WHERE k % 13 = 0) AS illisibles, count(DISTINCT CASE WHEN ok AND k % 19 <> 0 THEN strftime(u, '%Y-%m') END) AS dossiers
+        FROM (SELECT *, aware OR {paris(utc('t'))} = t AS ok, CASE WHEN aware THEN t ELSE {utc('t')} END AS u FROM rec))""",
     "s1_export": "SELECT c_custkey, c_name, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS c_acctbal FROM customer",
-    "k5_full_rebuild": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "s8_gold_table": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "k5_full_rebuild": " UNION ALL ".join(
+        f"SELECT '{name}' AS produit, count(*) AS lignes, round(sum({FIGURES[name]})::DOUBLE, 3) AS somme FROM {cte}"
+        for name, cte in {
+            "mix_temps_reel": "tr", "mix_consolide": "cons", "mix_unifie": "mix", "jours_tempo": "tempo", "conso_industrielle": "areas", "equilibre_mensuel": "bal", "contraintes_reseau": "contr", "production": "prod", "mix": "fmix",
+            "mix_journalier": "(SELECT jour, sum(consommation_mw * pas_minutes / 60.0::DOUBLE) / 1000 AS consommation_gwh FROM fmix GROUP BY jour)", "creneaux": "h", "cout_horaire": "ph", "cout_mensuel": "pm", "pression_commune": "communes",
+            "pression_departement": "dep", "tension_region": "tens", "territoire": "terr",
+        }.items()
+    ),
+    "r2_late_revision": f"SELECT heure_utc, heure_paris, jour, mois, heure_locale, jour_semaine, jour_tempo, couleur_tempo, periode_tarifaire, nb_mesures, est_complete, {_rounded('prix_ttc_eur_kwh taux_co2_g_kwh consommation_mw part_bas_carbone part_renouvelable')}, 2::BIGINT AS mois_refaits FROM h",
+    "r3_reread": """SELECT mois, count(*) AS lignes, sum(round(p, 2)::DECIMAL(18, 2))::DOUBLE AS montant, mois >= '1996-05' AND mois <= '1998-04' AND mois <> '1997-11' AS inchange, mois = '1997-11' AS ecrit
+      FROM (SELECT strftime(o_orderdate, '%Y-%m') AS mois, o_totalprice + CASE WHEN strftime(o_orderdate, '%Y-%m') = '1997-11' THEN 1 ELSE 0 END AS p FROM orders) GROUP BY mois""",
+    "f4_month_report": f"""SELECT mois, {r6('avg(taux_co2_g_kwh)', 'co2_moyen')}, (min({{'r': taux_co2_g_kwh, 't': heure_utc}})).t AS heure_plus_propre, {r6('min(taux_co2_g_kwh)', 'co2_min')}, (min({{'r': -taux_co2_g_kwh, 't': heure_utc}})).t AS heure_plus_carbonee,
+      {r6('max(taux_co2_g_kwh)', 'co2_max')}, {r6('quantile_cont(taux_co2_g_kwh, 0.9)', 'seuil_pic')} FROM h WHERE taux_co2_g_kwh IS NOT NULL AND mois = DATE '2026-04-01' GROUP BY mois""",
+    "s6_seed_files": "SELECT code_departement, departement, region, est_zni, count(*) AS clients FROM customer JOIN dim_departement ON code_departement = lpad((c_nationkey + 1)::VARCHAR, 2, '0') JOIN dim_region USING (code_insee_region) GROUP BY ALL",
+    "s12_guard": """SELECT jeu, refuse, CASE WHEN NOT refuse THEN lus END AS lus, CASE WHEN NOT refuse THEN charges END AS charges, premier, dernier FROM (VALUES ('orders_by_month', false), ('equilibre_regional_mensuel_prod_conso_brute', true)) AS v(jeu, refuse), (SELECT count(*) AS lus FROM orders),
+      (SELECT count(*) AS charges, min(o_orderdate)::TIMESTAMP AS premier, max(o_orderdate)::TIMESTAMP AS dernier FROM orders WHERE o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1997-03-01')""",
+    "k4_tables": "SELECT jeu, jeu <> 'national_tr' AS creee, CASE WHEN jeu = 'national_tr' THEN n ELSE 0 END AS lignes FROM (VALUES " + ", ".join(f"('{d.name}')" for d in DATASETS) + ") AS v(jeu), (SELECT count(*) AS n FROM tr)",
+    "f9_latest_month": """SELECT mois AS cout_mois, 'Bureau tertiaire, 36 kVA' AS cout_profil_libelle, n::DOUBLE AS cout_conso_kwh, round(month(mois) / 12.0::DOUBLE, 6) AS cout_part_hc, x AS cout_cout_htva_eur, n::DOUBLE AS cout_prix_moyen_htva_eur_kwh, n::DOUBLE AS cout_intensite_moyenne_g_kwh,
+      n::DOUBLE AS cout_kwh_decales, n::DOUBLE AS cout_gain_decalage_eur, n::DOUBLE AS cout_co2_evite_kg FROM (SELECT date_trunc('month', o_orderdate)::DATE AS mois, count(*) AS n, sum(round(o_totalprice, 2)::DECIMAL(18, 2))::DOUBLE AS x FROM orders GROUP BY 1)
+      WHERE mois < DATE '1998-05-01' AND month(mois) % 4 NOT IN (0, 3) ORDER BY mois DESC LIMIT 1""",
+    "p10_sorted_files": "SELECT 'base' AS jeu, count(*) AS lignes, true AS en_ordre FROM orders UNION ALL SELECT 'inverse', count(*), false FROM orders",
     "p6_repeated_hour": f"""SELECT jour, i::INT AS i, CASE WHEN {paris('f')} = t THEN CASE WHEN i >= 6 AND {paris('(f + INTERVAL 1 HOUR)')} = t THEN f + INTERVAL 1 HOUR ELSE f END END AS instant, {paris('f')} <> t AS inexistante
       FROM (SELECT jour, i, t, CASE WHEN {paris("(" + utc('t') + " - INTERVAL 1 HOUR)")} = t THEN {utc('t')} - INTERVAL 1 HOUR ELSE {utc('t')} END AS f FROM (SELECT jour, i, jour::TIMESTAMP + to_minutes((CASE WHEN month(jour) = 3 THEN 60 + 15 * i WHEN i < 6 THEN 90 + 15 * i ELSE 30 + 15 * i END)::INT) AS t
       FROM (SELECT DISTINCT (last_day(o_orderdate::DATE) - (isodow(last_day(o_orderdate::DATE)) % 7)::INT)::DATE AS jour FROM orders WHERE month(o_orderdate) IN (3, 10)), generate_series(0, 9) AS g(i)))""",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StringType, StructType
 
@@ -15,20 +14,23 @@ class MissingTable(RuntimeError):
     """A table that a product needs has not been built."""
 
 
-def _absent(e: AnalysisException) -> bool:
-    return e.getCondition() == "PATH_NOT_FOUND"
+def _at(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, on any file system that Spark reads."""
+    system, at = _at(spark, path)
+    return system.exists(at)
 
 
 def parted(spark: SparkSession, base: str, spec: Dataset) -> DataFrame:
     """The bronze table of a dataset under its declared schema, with the column that splits it, so that filters on that
     column leave out folders; empty if nothing has been loaded yet."""
     schema = StructType(spec.stored.fields).add(PART, StringType())
-    try:
-        return spark.read.schema(schema).parquet(layer_path(base, "bronze", spec.table))
-    except AnalysisException as e:
-        if _absent(e):
-            return spark.createDataFrame([], schema)
-        raise
+    path = layer_path(base, "bronze", spec.table)
+    return spark.read.schema(schema).parquet(path) if _there(spark, path) else spark.createDataFrame([], schema)
 
 
 def bronze(spark: SparkSession, base: str, spec: Dataset, window: TimeWindow | None = None) -> DataFrame:
@@ -54,31 +56,21 @@ def ensure_tables(spark: SparkSession, base: str, datasets: tuple[Dataset, ...]
     made = []
     for spec in datasets:
         path = layer_path(base, "bronze", spec.table)
-        try:
-            spark.read.schema(spec.stored).parquet(path)
-        except AnalysisException as e:
-            if not _absent(e):
-                raise
+        if not _there(spark, path):
             spark.createDataFrame([], StructType(spec.stored.fields).add(PART, StringType())).write.partitionBy(PART).parquet(path)
             made.append(spec.table)
     return made
 
 
-def stored(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
-    try:
-        return spark.read.option("partitionColumnTypeInference", "false").parquet(layer_path(base, layer, name))
-    except AnalysisException as e:
-        if _absent(e):
-            raise MissingTable(f"{layer} table {name} has not been built under {base}") from e
-        raise
+def exists(spark: SparkSession, base: str, layer: str, name: str) -> bool:
+    return _there(spark, layer_path(base, layer, name))
 
 
-def exists(spark: SparkSession, base: str, layer: str, name: str) -> bool:
-    try:
-        stored(spark, base, layer, name)
-        return True
-    except MissingTable:
-        return False
+def stored(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
+    """A built table; columns that split it are texts."""
+    if not exists(spark, base, layer, name):
+        raise MissingTable(f"{layer} table {name} has not been built under {base}")
+    return spark.read.option("partitionColumnTypeInference", "false").parquet(layer_path(base, layer, name))
 
 
 def seen(observation: Observation) -> dict:
@@ -91,8 +83,8 @@ def seen(observation: Observation) -> dict:
 
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Removes a folder of any file system that Spark reads, if it is there."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    system, at = _at(spark, path)
+    system.delete(at, True)
 
 
 def gold(spark: SparkSession, base: str, name: str) -> DataFrame:
