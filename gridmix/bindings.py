@@ -9,11 +9,12 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmix.functions import instants, text
-from gridmix.operators import quality, upsert, windows
+from gridmix.operators import quality, quantiles, ranges, upsert, windows
 from gridmix.operators.conform import conform
 from gridmix.plans import gold, rebuild, report, silver, territory
 from gridmix.sources import payloads, tables
@@ -547,6 +548,31 @@ def band_of_parts(spark, d):
     return territory.connection_band(p, seed(spark, "seuils_raccordement")).select("site_id", "puissance_mw", "domaine_tension", "gestionnaire")
 
 
+def supplier_terms(spark, d):
+    """Line items priced by the terms of their supplier at the day of shipping: a grid of a row for each day on which a
+    supplier's terms change, larger than what is broadcast (F5, J4, J6)."""
+    items = read(spark, d, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("jour"), "l_quantity")
+    changes = read(spark, d, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_suppkey").alias("s"), F.to_date("l_shipdate").alias("debut")).agg(F.max("l_discount").alias("remise"))
+    grid = changes.withColumn("fin", F.lead("debut").over(W.partitionBy("s").orderBy("debut")))  # some hundred changes a supplier
+    priced = ranges.range_join(items, grid, "jour", "debut", "fin", ranges.by_month, {"l_suppkey": "s"})
+    return priced.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("lignes"), F.count("remise").alias("avec_conditions"), F.sum((F.col("l_quantity") * F.col("remise")).cast("decimal(18,4)")).cast("double").alias("remises"))
+
+
+def price_bands(spark, d):
+    """Orders by bands of prices: a band for each part's price to the next one."""
+    prices = read(spark, d, "part").select(F.col("p_retailprice").alias("bas")).distinct()
+    bands = prices.withColumn("tranche", F.floor("bas")).groupBy("tranche").agg(F.min("bas").alias("bas"))
+    bands = bands.withColumn("haut", F.lead("bas").over(W.partitionBy(F.floor(F.col("tranche") / 100)).orderBy("bas")))  # the last band of each hundred is open
+    rows = read(spark, d, "orders").select((F.col("o_totalprice") / 100).alias("prix"))
+    found = ranges.range_join(rows, bands, "prix", "bas", "haut", ranges.by_size, most=50)
+    return found.groupBy("tranche").agg(F.count(F.lit(1)).alias("commandes"))
+
+
+def price_quantiles(spark, d):
+    """Exact quantiles of the prices of line items by return flag, by bins."""
+    return quantiles.exact_quantile(read(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", 0.9)
+
+
 _BOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m11_hourly_slots": hourly,
     "m1_real_time": lambda s, d: real_time(s, d).drop("source_dataset", "ingested_at_utc", *(m for m in SHARED_MEASURES if m.startswith("ech_comm"))),
@@ -613,6 +639,9 @@ _BOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k4_tables": ensured,
     "f9_latest_month": latest_complete_month,
     "p10_sorted_files": sorted_files,
+    "j4_supplier_terms": supplier_terms,
+    "j7_price_bands": price_bands,
+    "a17_quantiles": price_quantiles,
 }
 
 

@@ -288,6 +288,12 @@ QUERY = {
     "f9_latest_month": """SELECT mois AS cout_mois, 'Bureau tertiaire, 36 kVA' AS cout_profil_libelle, n::DOUBLE AS cout_conso_kwh, round(month(mois) / 12.0::DOUBLE, 6) AS cout_part_hc, x AS cout_cout_htva_eur, n::DOUBLE AS cout_prix_moyen_htva_eur_kwh, n::DOUBLE AS cout_intensite_moyenne_g_kwh,
       n::DOUBLE AS cout_kwh_decales, n::DOUBLE AS cout_gain_decalage_eur, n::DOUBLE AS cout_co2_evite_kg FROM (SELECT date_trunc('month', o_orderdate)::DATE AS mois, count(*) AS n, sum(round(o_totalprice, 2)::DECIMAL(18, 2))::DOUBLE AS x FROM orders GROUP BY 1)
       WHERE mois < DATE '1998-05-01' AND month(mois) % 4 NOT IN (0, 3) ORDER BY mois DESC LIMIT 1""",
+    "j4_supplier_terms": """SELECT l_suppkey, count(*) AS lignes, count(remise) AS avec_conditions, sum((l_quantity * remise)::DECIMAL(18, 4))::DOUBLE AS remises FROM lineitem LEFT JOIN (
+      SELECT s, debut, remise, lead(debut) OVER (PARTITION BY s ORDER BY debut) AS fin FROM (SELECT l_suppkey AS s, l_shipdate::DATE AS debut, max(l_discount) AS remise FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL))
+      ON s = l_suppkey AND l_shipdate::DATE >= debut AND (fin IS NULL OR l_shipdate::DATE < fin) GROUP BY l_suppkey""",
+    "j7_price_bands": """SELECT tranche, count(*) AS commandes FROM orders LEFT JOIN (SELECT tranche, bas, lead(bas) OVER (PARTITION BY tranche // 100 ORDER BY bas) AS haut FROM (SELECT floor(p_retailprice)::BIGINT AS tranche, min(p_retailprice) AS bas FROM part GROUP BY 1))
+      ON o_totalprice / 100 >= bas AND (haut IS NULL OR o_totalprice / 100 < haut) GROUP BY tranche""",
+    "a17_quantiles": "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 6) AS quantile FROM lineitem GROUP BY l_returnflag",
     "p10_sorted_files": "SELECT 'base' AS jeu, count(*) AS lignes, true AS en_ordre FROM orders UNION ALL SELECT 'inverse', count(*), false FROM orders",
     "p6_repeated_hour": f"""SELECT jour, i::INT AS i, CASE WHEN {paris('f')} = t THEN CASE WHEN i >= 6 AND {paris('(f + INTERVAL 1 HOUR)')} = t THEN f + INTERVAL 1 HOUR ELSE f END END AS instant, {paris('f')} <> t AS inexistante
       FROM (SELECT jour, i, t, CASE WHEN {paris("(" + utc('t') + " - INTERVAL 1 HOUR)")} = t THEN {utc('t')} - INTERVAL 1 HOUR ELSE {utc('t')} END AS f FROM (SELECT jour, i, jour::TIMESTAMP + to_minutes((CASE WHEN month(jour) = 3 THEN 60 + 15 * i WHEN i < 6 THEN 90 + 15 * i ELSE 30 + 15 * i END)::INT) AS t

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmix.functions.instants import day_hours, day_type, iso_weekday, month_hours, month_of, tariff_period, tempo_day, to_paris
 from gridmix.functions.text import energy_mwh, weighted_mean
+from gridmix.operators.ranges import by_month, by_value, range_join
 from gridmix.specs import SOURCES
 
 
 
-def valid_on(day: Column, grid: DataFrame) -> Column:
-    """Half-open validity of a grid's row, with an open end where date_fin is null."""
-    return (day >= grid["date_debut"]) & (day < F.coalesce(grid["date_fin"], F.lit("9999-12-31").cast("date")))
-
-
 def production_by_source(mix: DataFrame, sources: DataFrame) -> DataFrame:
     """One row per time and source with a value; pumping is not a source."""
     ids = ["date_heure", "qualite", "pas_minutes"]
@@ -78,9 +74,8 @@ def hourly_slots(mix: DataFrame, tempo: DataFrame, grid: DataFrame) -> DataFrame
     local = local.withColumns({"jour": F.to_date("heure_paris"), "heure_locale": F.hour("heure_paris")})
     local = local.withColumns({"periode_tarifaire": tariff_period(F.col("heure_locale")), "jour_tempo": tempo_day(F.col("jour"), F.col("heure_locale"))})
     coloured = local.join(tempo.select("jour_tempo", F.col("couleur").alias("couleur_tempo")), "jour_tempo", "left")
-    g = F.broadcast(grid)  # a few rows per tariff change
-    at = (coloured["couleur_tempo"] == g["couleur"]) & (coloured["periode_tarifaire"] == g["periode"]) & valid_on(coloured["jour"], g)
-    return coloured.join(g, at, "left").select(
+    priced = range_join(coloured, grid, "jour", "date_debut", "date_fin", by_month, {"couleur_tempo": "couleur", "periode_tarifaire": "periode"})
+    return priced.select(
         "heure_utc", "heure_paris", "jour", month_of(F.col("jour")).alias("mois"), "heure_locale", iso_weekday(F.col("jour")).alias("jour_semaine"), "jour_tempo", "couleur_tempo",
         "periode_tarifaire", "prix_ttc_eur_kwh", "taux_co2_g_kwh", "consommation_mw", "part_bas_carbone", "part_renouvelable", "nb_mesures", (F.col("_minutes") >= 60).alias("est_complete"),
     )
@@ -89,11 +84,9 @@ def hourly_slots(mix: DataFrame, tempo: DataFrame, grid: DataFrame) -> DataFrame
 def hourly_profile_cost(slots: DataFrame, profiles: DataFrame, grid: DataFrame) -> DataFrame:
     """Energy, cost and emissions of each load profile in each hour; hours outside all bands of a profile vanish."""
     typed = slots.withColumn("type_jour", day_type(F.col("jour_semaine")))
-    p = F.broadcast(profiles.withColumnRenamed("type_jour", "_type"))
-    inside = (typed["type_jour"] == p["_type"]) & (typed["heure_locale"] >= p["heure_debut"]) & (typed["heure_locale"] < p["heure_fin"])
-    hours = typed.select("heure_utc", "jour", "mois", "heure_locale", "type_jour", "periode_tarifaire", "taux_co2_g_kwh", "est_complete").join(p, inside)
-    g = F.broadcast(grid)
-    priced = hours.join(g, (hours["periode_tarifaire"] == g["periode"]) & valid_on(hours["jour"], g), "left")
+    hours = typed.select("heure_utc", "jour", "mois", "heure_locale", "type_jour", "periode_tarifaire", "taux_co2_g_kwh", "est_complete")
+    hours = range_join(hours, profiles, "heure_locale", "heure_debut", "heure_fin", by_value, {"type_jour": "type_jour"}, "inner")
+    priced = range_join(hours, grid, "jour", "date_debut", "date_fin", by_month, {"periode_tarifaire": "periode"})
     price, kw = F.col("prix_ht_eur_kwh") + F.col("accise_eur_kwh"), F.col("puissance_kw")
     return priced.select(
         "profil", "heure_utc", "jour", "mois", "heure_locale", "type_jour", "periode_tarifaire", "est_complete", kw.alias("conso_kwh"), F.col("puissance_flexible_kw").alias("conso_flexible_kwh"),

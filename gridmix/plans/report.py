@@ -7,26 +7,30 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridmix.functions.instants import month_hours, month_of
+from gridmix.operators.quantiles import exact_quantile
 from gridmix.operators.windows import complete_windows, disjoint_best, islands, priced_where_known, sliding_windows
 
 WINDOW_HOURS, KWH_PER_DAY, REFERENCE_HOUR, PEAK_QUANTILE = 3, 7.0, 18, 0.9
 COLOURS = ("bleu", "blanc", "rouge")
 
 
-def peak_threshold(slots: DataFrame, q: float = PEAK_QUANTILE, approximate: bool = False) -> DataFrame:
-    """Continuous quantile of a month's rates; exact unless asked otherwise (for inputs far larger than hours)."""
-    value = F.percentile_approx("taux_co2_g_kwh", q) if approximate else F.percentile("taux_co2_g_kwh", q)
-    return slots.groupBy("mois").agg(value.alias("seuil_pic"))
+def peak_threshold(slots: DataFrame, q: float = PEAK_QUANTILE, by_bins: bool = False) -> DataFrame:
+    """Continuous quantile of a month's rates, exact; ``by_bins`` for far more rates a month than there are hours."""
+    if by_bins:
+        return exact_quantile(slots, "mois", "taux_co2_g_kwh", q).withColumnRenamed("quantile", "seuil_pic")
+    return slots.groupBy("mois").agg(F.percentile("taux_co2_g_kwh", q).alias("seuil_pic"))
 
 
-def carbon_summary(slots: DataFrame, q: float = PEAK_QUANTILE) -> DataFrame:
-    """Mean, cleanest and dirtiest hour (the earliest of equal ones) and peak threshold of each month."""
+def carbon_summary(slots: DataFrame, q: float | None = PEAK_QUANTILE, by_bins: bool = False) -> DataFrame:
+    """Mean, cleanest and dirtiest hour (the earliest of equal ones) and, unless q is None, peak threshold of each month."""
+    if by_bins:
+        return carbon_summary(slots, None).join(peak_threshold(slots, q, True), "mois")
     rate = F.col("taux_co2_g_kwh")
     measured = slots.where(rate.isNotNull())
     first_max = F.struct((-rate).alias("r"), F.col("heure_utc"))
     return measured.groupBy("mois").agg(
-        F.avg(rate).alias("co2_moyen"), F.min(F.struct("taux_co2_g_kwh", "heure_utc")).alias("_min"), F.min(first_max).alias("_max"), F.percentile(rate, q).alias("seuil_pic"),
-    ).select("mois", "co2_moyen", F.col("_min.heure_utc").alias("heure_plus_propre"), F.col("_min.taux_co2_g_kwh").alias("co2_min"), F.col("_max.heure_utc").alias("heure_plus_carbonee"), (-F.col("_max.r")).alias("co2_max"), "seuil_pic")
+        F.avg(rate).alias("co2_moyen"), F.min(F.struct("taux_co2_g_kwh", "heure_utc")).alias("_min"), F.min(first_max).alias("_max"), *([F.percentile(rate, q).alias("seuil_pic")] if q is not None else []),
+    ).select("mois", "co2_moyen", F.col("_min.heure_utc").alias("heure_plus_propre"), F.col("_min.taux_co2_g_kwh").alias("co2_min"), F.col("_max.heure_utc").alias("heure_plus_carbonee"), (-F.col("_max.r")).alias("co2_max"), *(["seuil_pic"] if q is not None else []))
 
 
 def peak_hours(slots: DataFrame, q: float = PEAK_QUANTILE) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmix.functions.text import balance_status, department_of, parent_commune
+from gridmix.operators.ranges import by_size, range_join
 from gridmix.operators.windows import rank_where
 
 PROFILE = "bureau_36kva"
@@ -81,10 +82,8 @@ def territory_diagnosis(pressure: DataFrame, tension: DataFrame) -> DataFrame:
 def connection_band(sites: DataFrame, bands: DataFrame) -> DataFrame:
     """Adds the connection band of puissance_mw: half-open, the last one open; no power, no band; a negative one is an error."""
     power = F.when(F.col("puissance_mw") < 0, F.raise_error(F.lit("a negative power"))).otherwise(F.col("puissance_mw"))
-    b = F.broadcast(bands.select("domaine_tension", "gestionnaire", "commentaire", "puissance_min_mw", "puissance_max_mw"))  # five rows
-    s = sites.withColumn("puissance_mw", power)
-    inside = (s["puissance_mw"] >= b["puissance_min_mw"]) & (b["puissance_max_mw"].isNull() | (s["puissance_mw"] < b["puissance_max_mw"]))
-    return s.join(b, inside, "left").drop("puissance_min_mw", "puissance_max_mw")
+    b = bands.select("domaine_tension", "gestionnaire", "commentaire", "puissance_min_mw", "puissance_max_mw")
+    return range_join(sites.withColumn("puissance_mw", power), b, "puissance_mw", "puissance_min_mw", "puissance_max_mw", by_size)
 
 
 def latest_priced_month(monthly: DataFrame, profiles: DataFrame, profile: str = PROFILE) -> DataFrame:
