@@ -1,9 +1,8 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Per text the base counts are computed once. Further rules are then tried in order of rejections per cost, both
-estimated on a sample by a hash of the ids, in one job; the first rule that rejects ends the cascade, so the order
-changes the time and never the verdict. The cost of a rule is the characters that it reads: those of the text if it
-looks at the text, else one for its arithmetic on the base counts. No row is shuffled.
+Per text the base counts, which are part of the result, are computed once. Further rules are then tried in order of
+rejections per cost, both measured on a sample by a hash of the ids; the first rule that rejects ends the cascade, so
+the order changes the time and never the verdict. No row is shuffled.
 
 Defined results: null and empty texts have no words and fail the base rule; very long texts are sorted by window
 hash, never compared pairwise; repeated rows give repeated results; an empty table gives an empty result; columns of
@@ -12,17 +11,20 @@ the input other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import SPACE, SPACE_CHARS, hashed_share, table
+from gridmix.llm.common import SPACE, SPACE_CHARS, hashed_share, staged, table
 
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]+"
 #: About how many documents the order of the rules is estimated on; no count or verdict depends on it.
 SAMPLE_ROWS = 2000
+#: Times that a rule is tried on each document of the sample to measure its cost.
+TIMES = 12
 
 #: name -> condition under which a text is rejected, over the base counts and the text; the same SQL runs in DuckDB.
 RULES = {
@@ -44,21 +46,30 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
 
 
-def repeated_words(w: Column, k: int = WINDOW) -> Column:
+def repeated_words(w: Column, k: int = WINDOW, hashed: Callable[..., Column] = F.xxhash64) -> Column:
     """How many words lie in windows of k words that occur twice or more in the text.
 
-    Only texts with a repeated 64-bit hash of a window are sorted, by hash and then by the words themselves.
+    Only texts with a repeated hash of a window are sorted, by hash and place; windows with one hash are neighbours then
+    and are compared by their words. Should two of them differ, that text is sorted by the words as well.
     """
-    hashes = F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)]))
+    hashes = F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: hashed(*[F.get(w, i + j) for j in range(k)]))
+    window = lambda x: F.slice(w, x["i"] + 1, k)
 
-    def covered(h: Column) -> Column:
-        ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(F.struct(x.alias("h"), F.slice(w, i + 1, k).alias("words")).alias("g"), i.alias("i"))))
-        twice = let(ordered, lambda s: F.filter(s, lambda x, j: F.coalesce(F.get(s, j - 1)["g"] == x["g"], F.lit(False)) | F.coalesce(F.get(s, j + 1)["g"] == x["g"], F.lit(False))))
+    def covered(s: Column) -> Column:
+        """Of places sorted so that equal windows are neighbours with one g."""
+        like = lambda x, y: F.coalesce(y["g"] == x["g"], F.lit(False))
+        twice = F.filter(s, lambda x, j: like(x, F.get(s, j - 1)) | like(x, F.get(s, j + 1)))
         starts = F.array_sort(F.transform(twice, lambda x: x["i"]))
         widths = let(starts, lambda p: F.transform(p, lambda x, j: F.least(F.lit(k), F.coalesce(F.get(p, j + 1) - x, F.lit(k)))))
         return F.aggregate(widths, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
-    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0).cast("bigint")))
+    def sorted_places(h: Column) -> Column:
+        by_hash = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("g"), i.alias("i"))))
+        by_words = F.array_sort(F.transform(h, lambda x, i: F.struct(F.struct(x.alias("h"), F.slice(w, i + 1, k).alias("words")).alias("g"), i.alias("i"))))
+        differ = lambda s: F.exists(F.sequence(F.lit(1), F.size(s) - 1), lambda j: (F.get(s, j)["g"] == F.get(s, j - 1)["g"]) & (window(F.get(s, j)) != window(F.get(s, j - 1))))
+        return let(by_hash, lambda s: F.when(differ(s), let(by_words, covered)).otherwise(covered(s)))
+
+    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), sorted_places(h)).otherwise(F.lit(0).cast("bigint")))
     return F.when(F.size(w) > k, some).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -80,18 +91,28 @@ def spark_rule(name: str) -> Column:
 
 
 def estimates(docs: DataFrame, rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
-    """Of each rule (share of rejections, cost in characters a document) on about ``rows`` documents."""
-    some = hashed_share(docs.select("doc_id", "text"), docs.count(), rows, "doc_id")
-    rejected = [F.sum(spark_rule(name).cast("int")).alias(name) for name in RULES]
-    found = counts(some).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("text")).alias("chars"), *rejected).first()
+    """Of each rule (share of rejections, seconds a document), measured on about ``rows`` documents: the time of a job
+    that tries the rule ``TIMES`` times on each of them, less that of a job that tries it once."""
+    some = staged(counts(hashed_share(docs.select("doc_id", "text"), docs.count(), rows, "doc_id")))
+    found = some.agg(F.count(F.lit(1)).alias("n_rows"), *(F.sum(spark_rule(name).cast("int")).alias(name) for name in RULES)).first()
     n = max(found["n_rows"], 1)
-    return {name: (((found[name] or 0) + 0.5) / n, 1 + ("text" in rule) * (found["chars"] or 0) / n) for name, rule in RULES.items()}
+
+    def seconds(name: str, times: int) -> float:
+        began = time.perf_counter()
+        some.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(times)))).agg(F.sum(spark_rule(name).cast("int"))).collect()
+        return time.perf_counter() - began
+
+    cost = {name: max(seconds(name, TIMES) - seconds(name, 1), 1e-6) / (TIMES - 1) / n for name in RULES}
+    return {name: (((found[name] or 0) + 0.5) / n, cost[name]) for name in RULES}
+
+
+def in_order(known: dict[str, tuple[float, float]]) -> list[str]:
+    """Rule names by rejections per cost."""
+    return sorted(known, key=lambda x: -known[x][0] / known[x][1])
 
 
 def ordered_rules(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rule names by estimated rejections per cost."""
-    known = estimates(docs, rows)
-    return sorted(RULES, key=lambda x: -known[x][0] / known[x][1])
+    return in_order(estimates(docs, rows))
 
 
 def quality(docs: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -120,14 +121,22 @@ def test_rules_are_ordered_by_rejections_per_cost(spark, empty):
     texts = ["# # # word a b c d e f g"] * 3 + ["plain words of a text that nobody would reject at all, I think"] * 40 + ["ALL OF THIS IS LOUD AND VERY LONG " * 30] * 12
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     known = quality.estimates(df)
-    chars = sum(map(len, texts)) / len(texts)
-    assert known["symbols"] == (0.5 / 55, 1) and known["shouting"] == (12.5 / 55, 1 + chars)
-    order = quality.ordered_rules(df)
+    assert known["symbols"][0] == 0.5 / 55 and known["shouting"][0] == 12.5 / 55 and all(cost > 0 for _, cost in known.values())
+    order = quality.in_order(known)
     gain = [known[r][0] / known[r][1] for r in order]
     assert gain == sorted(gain, reverse=True) and set(order) == set(quality.RULES)
     assert len(quality.ordered_rules(empty)) == len(quality.RULES)
 
 
+def test_windows_with_colliding_hashes(spark, odd_texts):
+    """With three hashes for all windows, windows are still told apart by their words."""
+    weak = lambda *c: F.pmod(F.xxhash64(*c), F.lit(3))
+    texts = [t for t in odd_texts if t and len(t) < 6000] + ["a b c d e f a b c d e x y a b c d e f g"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n"] for r in df.select("doc_id", quality.repeated_words(quality.words(F.col("text")), hashed=weak).alias("n")).collect()}
+    assert got == {i: plain_quality(t)[4] for i, t in enumerate(texts)}
+
+
 def test_quality_has_no_python(docs):
     plan = quality.quality(docs, list(quality.RULES))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
