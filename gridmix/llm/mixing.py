@@ -16,8 +16,8 @@ words: counts are grouped over all training texts; the ``COMMON`` most frequent
 of all others are joined by word.
 
 Defined results: null and empty texts have one token, the end; a null doc_id counts as training (its remainder is not
-0); repeated rows count as often as they occur; a text of more than ``PIECE`` bytes is coded in pieces of that many,
-each with contexts and weights of its own; an empty table gives an empty result; no training texts at all give
+0); repeated rows count as often as they occur; a text of more than ``PIECE`` bytes is worked on in pieces of that many,
+each with the contexts and weights that the one before left, so pieces don't show in the result; an empty table gives an empty result; no training texts at all give
 c = N = V = 0 and even odds for every bit; only doc_id and text are read.
 """
 
@@ -51,7 +51,8 @@ START, STEP = 0.45, 0.0008
 ROUNDS, RIDGE = 4, 1e-3
 SCALE = 12.0
 SPREAD = np.uint32(0x2C1B3C6D)
-#: Bytes worked on at once (so that arrays stay in the processor's cache), and the most that one text may bring.
+#: Bytes worked on at once (so that arrays stay in the processor's cache), and the most that one text may bring: a
+#: multiple of BLOCK, so that pieces end where blocks do.
 SLICE, PIECE = 96 << 10, 256 << 10
 DEPTHS = 4
 #: Log odds, in steps of 1 / SCALE, from which the four-byte context counts as weak, fair, sure.
@@ -131,16 +132,28 @@ class Code:
         return at, entry
 
 
-def text_pieces(raw: np.ndarray, offsets: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row of each piece, bytes, offsets, whether the text ends there) of slices. Only texts of more than PIECE bytes have several pieces."""
+class Carry:
+    """What a piece of a text leaves to the next one: its place, the last four symbols, the word so far (its hash, and
+    the power that its next symbol takes), and what the weights have gained."""
+
+    def __init__(self) -> None:
+        self.place, self.tail, self.word, self.power = 0, np.full(4, END, np.uint32), 0, 1
+        self.more: np.ndarray | None = None
+
+
+def text_pieces(raw: np.ndarray, offsets: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Carry | None]]:
+    """(row of each piece, bytes, offsets, whether the text ends there, its carry) of slices. Only texts of more than
+    PIECE bytes have several pieces, and a carry, which ``contexts`` and ``Mixer.cost`` read and bring up to date."""
     for a, b in row_slices(offsets, most or SLICE):
         own, size = raw[offsets[a] : offsets[b]], int(offsets[b] - offsets[a])
         if b - a > 1 or size <= PIECE:
-            yield np.arange(a, b), own, offsets[a : b + 1] - offsets[a], np.ones(b - a, bool)
+            yield np.arange(a, b), own, offsets[a : b + 1] - offsets[a], np.ones(b - a, bool), None
             continue
+        carry = Carry()
         for at in range(0, size, PIECE):
             part = own[at : at + PIECE]
-            yield np.array([a]), part, np.array([0, len(part)]), np.array([at + PIECE >= size])
+            carry.place = at
+            yield np.array([a]), part, np.array([0, len(part)]), np.array([at + PIECE >= size]), carry
 
 
 def symbols_of(raw: np.ndarray, offsets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,9 +166,9 @@ def symbols_of(raw: np.ndarray, offsets: np.ndarray, ends: np.ndarray) -> tuple[
     return out, offsets + added
 
 
-def contexts(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def contexts(symbols: np.ndarray, offsets: np.ndarray, carry: Carry | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
     """The symbol before each position, and a 32-bit hash of each context there, spread like the salts of a code.
-    Before its first symbol a piece has end symbols."""
+    Before its first symbol a text has end symbols, and a later piece what its carry says."""
     s = symbols.astype(np.uint32)
 
     def before(j: int) -> np.ndarray:
@@ -164,6 +177,8 @@ def contexts(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list
         for k in range(j):
             first = offsets[:-1] + k
             out[first[first < len(s)]] = END
+        if carry:
+            out[:j] = carry.tail[4 - j :][: len(s)]
         return out
 
     b1, b2, b3, b4 = (before(j) for j in (1, 2, 3, 4))
@@ -177,7 +192,17 @@ def contexts(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list
     head = np.concatenate([[True], blank[:-1]])
     head[offsets[:-1][offsets[:-1] < len(s)]] = True
     start = np.maximum.accumulate(np.where(head, at, 0))
-    word = (sums[at] - sums[start]) * down[start] + np.uint32(0x165667B1)
+    word = (sums[at] - sums[start]) * down[start]
+    if carry:
+        goes_on = start == 0
+        word[goes_on] = word[goes_on] * np.uint32(carry.power) + np.uint32(carry.word)
+        first = start[-1] if len(s) and not blank[-1] else len(s)  # of the word that the next piece goes on with
+        with np.errstate(over="ignore"):
+            own, power = int((sums[-1] - sums[first]) * down[first]), int(up[len(s) - first])
+        low = (1 << 32) - 1
+        carry.word, carry.power = (carry.word + carry.power * own & low, carry.power * power & low) if first == 0 else (own, power)
+        carry.tail = np.append(carry.tail, s)[-4:]
+    word += np.uint32(0x165667B1)
     return b1.astype(np.int64), [(h ^ h >> np.uint32(13)) * SPREAD for h in (two, four, word * np.uint32(0x85EBCA77))]
 
 
@@ -224,10 +249,13 @@ def first_pass(train: DataFrame) -> DataFrame:
 
         for batch in batches:
             raw, offsets = text_bytes(batch["text"])
-            for _, part, at, ends in text_pieces(raw, offsets, 1 << 20):
+            for _, part, at, ends, carry in text_pieces(raw, offsets, 1 << 20):
                 symbols, own = symbols_of(part, at, ends)
                 before = np.append(END, symbols[:-1])
                 before[own[:-1][own[:-1] < len(symbols)]] = END
+                if carry:
+                    before[0] = carry.tail[-1]
+                    carry.tail = symbols[-4:]
                 pairs += np.bincount(before * ALPHABET + symbols, minlength=len(pairs))
             rows += batch.num_rows
             for a in range(0, batch.num_rows, 200):
@@ -273,9 +301,9 @@ def context_tables(main: DataFrame, tuning: DataFrame, code: Code, bits: tuple[i
             total = [np.zeros(2 << b, np.int32) for b in bits]
             for batch in batches:
                 raw, offsets = text_bytes(batch["text"])
-                for _, own, at, ends in text_pieces(raw, offsets):
+                for _, own, at, ends, carry in text_pieces(raw, offsets):
                     symbols, starts = symbols_of(own, at, ends)
-                    before, hashes = contexts(symbols, starts)
+                    before, hashes = contexts(symbols, starts, carry)
                     where, entry = own_code.entries(before, symbols)
                     salt, _, bit = own_code.unpacked(entry)
                     for t, h, b in zip(total, hashes, bits):
@@ -316,16 +344,17 @@ def context_tables(main: DataFrame, tuning: DataFrame, code: Code, bits: tuple[i
     return out
 
 
-def block_edges(n: int) -> np.ndarray:
-    """The first n block limits in a text: 0, FIRST, twice that and so on to BLOCK, then every BLOCK."""
-    edges = [0, *(FIRST << i for i in range((BLOCK // FIRST).bit_length()))]
-    return np.array((edges + list(range(2 * BLOCK, (n + 1) * BLOCK, BLOCK)))[:n], np.int64)
+def block_edges(first: int, n: int) -> np.ndarray:
+    """The limits of n blocks of a text from block ``first`` on: 0, FIRST, twice that and so on to BLOCK, then every BLOCK."""
+    small = [0, *(FIRST << i for i in range((BLOCK // FIRST).bit_length()))]
+    at = np.arange(first, first + n + 1)
+    return np.where(at < len(small), np.take(small, at, mode="clip"), (at - len(small) + 2) * BLOCK)
 
 
 def block_of(place: np.ndarray) -> np.ndarray:
     """The number of the block that a place of a text lies in."""
-    small = block_edges((BLOCK // FIRST).bit_length() + 1)
-    return np.where(place < BLOCK, np.searchsorted(small, place, side="right") - 1, len(small) - 2 + place // BLOCK).astype(np.int16)
+    small = block_edges(0, (BLOCK // FIRST).bit_length())
+    return np.where(place < BLOCK, np.searchsorted(small, place, side="right") - 1, len(small) - 2 + place // BLOCK)
 
 
 def start_weights() -> np.ndarray:
@@ -340,9 +369,9 @@ class Mixer:
         self.code, self.tables, self.weights = code, tables, weights.astype(np.float32)
         self.bits = [len(t).bit_length() - 1 for t in tables]
 
-    def bits_of(self, symbols: np.ndarray, offsets: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    def bits_of(self, symbols: np.ndarray, offsets: np.ndarray, order: np.ndarray, carry: Carry | None = None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
         """(symbol's place in order, gate, log odds by context towards the bit that comes, their mix) of every bit of the symbols in an order."""
-        before, hashes = contexts(symbols, offsets)
+        before, hashes = contexts(symbols, offsets, carry)
         before, symbols = before.take(order), symbols.take(order)
         at, entry = self.code.entries(before, symbols)
         salt, first, bit = self.code.unpacked(entry)
@@ -357,8 +386,9 @@ class Mixer:
             odds.append(o)
         return at, gate, odds, z
 
-    def cost(self, raw: np.ndarray, offsets: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
-        """Cost in nats of each piece. The first blocks of all pieces are coded together, then their second blocks..., longer pieces first."""
+    def cost(self, raw: np.ndarray, offsets: np.ndarray, ends: np.ndarray | None = None, carry: Carry | None = None) -> np.ndarray:
+        """Cost in nats of each piece. The first blocks of all pieces are coded together, then their second blocks...,
+        longer pieces first. A piece with a carry is alone."""
         n = len(offsets) - 1
         symbols, starts = symbols_of(raw, offsets, np.ones(n, bool) if ends is None else ends)
         size = np.diff(starts)
@@ -368,34 +398,41 @@ class Mixer:
         size = size[rank]
         first = np.cumsum(size) - size
         place = np.arange(len(symbols)) - np.repeat(first, size)
-        block = block_of(place)
+        begin = carry.place if carry else 0
+        past = int(block_of(np.array([begin]))[0])  # blocks of earlier pieces
+        block = (block_of(place + begin) - past).astype(np.int16)
         turn = np.argsort(block, kind="stable")
         order = (np.repeat(starts[rank], size) + place)[turn]
-        at, _, odds, z = self.bits_of(symbols, starts, order)
-        edges = block_edges(int(block[size[0] - 1]) + 2)
+        at, _, odds, z = self.bits_of(symbols, starts, order, carry)
+        edges = block_edges(past, int(block[size[0] - 1]) + 1) - begin
         lengths = np.minimum(size[:, None], edges[1:]) - np.minimum(size[:, None], edges[:-1])  # of each piece in each block
         cuts = np.searchsorted(at, np.append(0, np.cumsum(lengths.T.reshape(-1)))).reshape(-1)
         more = np.zeros((len(odds), n), np.float32)
+        if past and carry.more is not None:
+            more[:] = carry.more
+        goes_on = carry is not None and not ends[0]
         total = np.zeros(n)
         for k in range(lengths.shape[1]):
             here = int((lengths[:, k] > 0).sum())
             mark = cuts[k * n : k * n + here + 1]
             a, b = mark[0], mark[-1]
             own = z[a:b]
-            if k:
+            if k or past:
                 count = np.diff(mark)
                 for o, m in zip(odds, more):
                     own += o[a:b] * np.repeat(m[:here], count)
             np.clip(own, -30, 30, out=own)
             e = np.exp(-own)  # the bit costs log(1 + e)
             e1 = e + np.float32(1)
-            if k + 1 < lengths.shape[1]:
-                on = int((lengths[:, k + 1] > 0).sum())  # the others are done
+            if goes_on or k + 1 < lengths.shape[1]:
+                on = n if goes_on else int((lengths[:, k + 1] > 0).sum())  # the others are done
                 c = mark[on] - a
                 error = e[:c] / e1[:c]
                 for o, m in zip(odds, more):
                     m[:on] += np.float32(STEP / SCALE**2) * np.add.reduceat(error * o[a : a + c], mark[:on] - a)
             total[:here] += np.add.reduceat(np.log(e1, out=e1), mark[:-1] - a)
+        if goes_on:
+            carry.more = more
         out = np.zeros(n)
         out[rank] = total
         return out
@@ -403,8 +440,8 @@ class Mixer:
     def costs(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Cost in nats of each row, however long."""
         out = np.zeros(len(offsets) - 1)
-        for rows, own, at, ends in text_pieces(raw, offsets):
-            np.add.at(out, rows, self.cost(own, at, ends))
+        for rows, own, at, ends, carry in text_pieces(raw, offsets):
+            np.add.at(out, rows, self.cost(own, at, ends, carry))
         return out
 
 
@@ -413,9 +450,9 @@ def curves(mixer: Mixer, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     k = len(mixer.tables)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     out = np.zeros((GATES, k + len(pairs) + 1))
-    for _, own, at, ends in text_pieces(raw, offsets):
+    for _, own, at, ends, carry in text_pieces(raw, offsets):
         symbols, starts = symbols_of(own, at, ends)
-        _, gate, odds, z = mixer.bits_of(symbols, starts, np.arange(len(symbols)))
+        _, gate, odds, z = mixer.bits_of(symbols, starts, np.arange(len(symbols)), carry)
         p = 1 / (1 + np.exp(np.clip(z, -30, 30)))  # of the wrong bit
         rows = [*(p * o for o in odds), *(p * (1 - p) * odds[i] * odds[j] for i, j in pairs), np.ones(len(p))]
         out += np.stack([np.bincount(gate, weights=r, minlength=GATES) for r in rows], 1)

@@ -260,15 +260,30 @@ def test_scores_do_not_depend_on_neighbours():
     assert np.allclose(together, alone, rtol=1e-4)
 
 
-def test_long_texts_come_in_pieces(monkeypatch):
-    monkeypatch.setattr(mixing, "PIECE", 500)
-    monkeypatch.setattr(mixing, "SLICE", 300)
-    m, _ = trained(TEXTS[:4])
-    texts = ["short", TEXTS[5], ""]
+def test_pieces_of_long_texts_do_not_show(monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE", 700)
+    m, plain = trained(TEXTS[:6])
+    texts = ["short", TEXTS[5] * 4, "", "x" * 5000, "a b " * 512, "one longer word " + "é" * 1100 + "\n more", "last " * 3000]
     raw, off = text_bytes(pa.array(texts))
-    parts = [TEXTS[5].encode()[i : i + 500] for i in range(0, len(TEXTS[5]), 500)]
-    want = sum(m.cost(np.frombuffer(p, np.uint8), np.array([0, len(p)]), np.array([i == len(parts) - 1]))[0] for i, p in enumerate(parts))
-    assert np.allclose(m.costs(raw, off)[1], want, rtol=1e-5) and len(parts) > 2
+    want, curves = m.costs(raw, off), mixing.curves(m, raw, off)
+    assert np.allclose(want[:5], [plain.cost(t.encode()) for t in texts[:5]], rtol=2e-4)
+    for piece in (1024, 2048, 3072):
+        monkeypatch.setattr(mixing, "PIECE", piece)
+        assert np.allclose(m.costs(raw, off), want, rtol=1e-6)
+        assert np.allclose(mixing.curves(m, raw, off), curves, rtol=1e-6, atol=1e-6)
+
+
+def test_training_counts_do_not_depend_on_pieces(spark, monkeypatch):
+    rows = spark.createDataFrame([(TEXTS[5] * 4,), ("x" * 5000 + " y",), ("short",), (None,)], "text string")
+    code = mixing.Code(symbol_pairs(TEXTS))
+    counted = []
+    for piece in (1024, 1 << 18):
+        monkeypatch.setattr(mixing, "PIECE", piece)
+        pairs = {r["pair"]: r["n"] for r in mixing.first_pass(rows).where("pair IS NOT NULL").collect()}
+        counted.append((pairs, mixing.context_tables(rows, rows.limit(0), code, (16, 18, 18))))
+    assert counted[0][0] == counted[1][0]
+    for one, other in zip(counted[0][1], counted[1][1]):
+        assert all((x == y).all() and x.any() for x, y in zip(one, other))
 
 
 def test_learnt_weights_are_better(spark):
