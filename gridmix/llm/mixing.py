@@ -1,7 +1,7 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
-A text is coded byte by byte, with an end symbol. After each byte stands a prefix code of its own, built from the byte
-pairs of the training texts, so a byte is a few bits, about as many as its order-1 entropy. For every bit, each context
+A text is coded byte by byte, with an end symbol. After each byte, and after each of the ``CODES`` most frequent pairs of
+bytes, stands a prefix code of its own, built from what follows there in the training texts, so a byte is a few bits. For every bit, each context
 (the last two bytes, the last four, the word so far) looks up, in a hashed table, how often the bit was 0 and 1 after it
 in the training texts. The log odds are mixed by weights that a gate selects (the bit's depth in the code, and how sure
 the four-byte context is), and squashed. The weights start from what the training texts teach and are refined online,
@@ -54,11 +54,12 @@ SPREAD = np.uint32(0x2C1B3C6D)
 #: Bytes worked on at once (so that arrays stay in the processor's cache), and the most that one text may bring: a
 #: multiple of BLOCK, so that pieces end where blocks do.
 SLICE, PIECE = 96 << 10, 256 << 10
+#: Pairs of symbols with a code of their own.
+CODES = 256
 DEPTHS = 4
 #: Log odds, in steps of 1 / SCALE, from which the four-byte context counts as weak, fair, sure.
 SURE = (3, 20, 48)
 GATES = DEPTHS * (len(SURE) + 1)
-GATE_OF = np.array([sum(min(o, 256 - o) >= s for s in SURE) for o in range(256)], np.int64)  # by odds modulo 256
 FOUR = 1  # the place of the four-byte context among the contexts
 
 
@@ -89,40 +90,44 @@ def code_paths(weights: list[float]) -> list[list[tuple[int, int]]]:
 
 
 class Code:
-    """A prefix code after each symbol, flattened: the bits of symbol s after p are entries first..first+size at p * ALPHABET + s.
+    """Prefix codes of symbols by the two before them, flattened: the bits of symbol s after state t (the last symbol
+    times ALPHABET, and the one before it) are entries first..first+size at row[t] + s.
 
-    ``pairs`` counts symbols by the symbol before them. Symbols before which nothing was counted share one code.
+    ``pairs`` counts symbols by the symbol before them, ``frequent`` by some states. A state not among these has the
+    code of its last symbol, and symbols after which nothing was counted share one code.
     """
 
-    def __init__(self, pairs: np.ndarray):
+    def __init__(self, pairs: np.ndarray, frequent: dict[int, np.ndarray] | None = None):
         pairs = np.asarray(pairs, float).reshape(ALPHABET, ALPHABET)
         prior = (pairs.sum(0) + 1) / (pairs.sum() + ALPHABET)
-        size, nodes, bits, depth, first = [], [], [], [], np.zeros(ALPHABET, np.int64)
-        known = np.flatnonzero(pairs.any(1))
-        for k, p in enumerate([-1, *known]):
-            paths = code_paths((prior if p < 0 else pairs[p] + prior).tolist())
-            first[p if p >= 0 else slice(None)] = k
+        known, frequent = np.flatnonzero(pairs.any(1)), frequent or {}
+        row = np.zeros((ALPHABET, ALPHABET), np.int64)
+        row[known] = np.arange(1, len(known) + 1)[:, None]
+        row.reshape(-1)[list(frequent)] = np.arange(len(known) + 1, len(known) + 1 + len(frequent))
+        size, nodes, bits, depth = [], [], [], []
+        for k, own in enumerate([np.zeros(ALPHABET), *pairs[known], *frequent.values()]):
+            paths = code_paths((own + prior).tolist())
             size += map(len, paths)
-            flat = [x for path in paths for x in path]
-            nodes += [k * ALPHABET + n for n, _ in flat]
-            bits += [b for _, b in flat]
+            flat = np.array([x for path in paths for x in path], np.int64).reshape(-1, 2)
+            nodes.append(k * ALPHABET + flat[:, 0])
+            bits.append(flat[:, 1])
             depth += [min(d, DEPTHS - 1) for path in paths for d in range(len(path))]
-        self.row = first * ALPHABET  # of each symbol before
+        self.row = row.reshape(-1) * ALPHABET
         self.size = np.array(size, np.int64)
         self.first = np.cumsum(self.size) - self.size
-        salt = (np.array(nodes, np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+        salt = (np.concatenate(nodes).astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
         salt = (salt ^ salt >> np.uint32(15)) * SPREAD
         # One number an entry, so that one look-up serves: the node's salt, the depth's first gate, the bit.
-        self.packed = salt.astype(np.int64) << 8 | np.array(depth) * (GATES // DEPTHS) << 1 | np.array(bits)
+        self.packed = salt.astype(np.int64) << 8 | np.array(depth) * (GATES // DEPTHS) << 1 | np.concatenate(bits)
 
     def unpacked(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Salts, first gates and bits of entries."""
         x = self.packed.take(entry)
         return (x >> 8).astype(np.uint32), x >> 1 & 127, x & 1
 
-    def entries(self, before: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def entries(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position of the symbol, entry) for every bit of these symbols, in order."""
-        code = self.row.take(before)
+        code = self.row.take(states)
         code += symbols
         size = self.size.take(code)
         at = np.repeat(np.arange(len(symbols)), size)  # indices stay 64 bits wide: numpy widens all others at each use
@@ -166,23 +171,25 @@ def symbols_of(raw: np.ndarray, offsets: np.ndarray, ends: np.ndarray) -> tuple[
     return out, offsets + added
 
 
-def contexts(symbols: np.ndarray, offsets: np.ndarray, carry: Carry | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The symbol before each position, and a 32-bit hash of each context there, spread like the salts of a code.
-    Before its first symbol a text has end symbols, and a later piece what its carry says."""
-    s = symbols.astype(np.uint32)
+def before(s: np.ndarray, offsets: np.ndarray, j: int, carry: Carry | None) -> np.ndarray:
+    """The symbol j places before each position. Before its first symbol a text has end symbols, and a later piece what
+    its carry says."""
+    out = np.full(len(s), END, s.dtype)
+    out[j:] = s[: max(0, len(s) - j)]
+    for k in range(j):
+        first = offsets[:-1] + k
+        out[first[first < len(s)]] = END
+    if carry:
+        out[:j] = carry.tail[4 - j :][: len(s)]
+    return out
 
-    def before(j: int) -> np.ndarray:
-        out = np.full(len(s), END, np.uint32)
-        out[j:] = s[: max(0, len(s) - j)]
-        for k in range(j):
-            first = offsets[:-1] + k
-            out[first[first < len(s)]] = END
-        if carry:
-            out[:j] = carry.tail[4 - j :][: len(s)]
-        return out
 
-    b1, b2, b3, b4 = (before(j) for j in (1, 2, 3, 4))
-    two = (b1 * np.uint32(257) + b2) * np.uint32(0x85EBCA6B)
+def contexts(symbols: np.ndarray, offsets: np.ndarray, carry: Carry | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The code's state at each position, and a 32-bit hash of each context there, spread like the salts of a code."""
+    s = symbols.astype(np.uint32)
+    b1, b2, b3, b4 = (before(s, offsets, j, carry) for j in (1, 2, 3, 4))
+    state = b1 * np.uint32(ALPHABET) + b2
+    two = state * np.uint32(0x85EBCA6B)
     four = (two ^ (b3 * np.uint32(257) + b4) * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F)
     # The word so far: prefix sums of powers from the last blank, end symbol or piece's start on.
     blank = (s <= 32) | (s == END)
@@ -203,7 +210,7 @@ def contexts(symbols: np.ndarray, offsets: np.ndarray, carry: Carry | None = Non
         carry.word, carry.power = (carry.word + carry.power * own & low, carry.power * power & low) if first == 0 else (own, power)
         carry.tail = np.append(carry.tail, s)[-4:]
     word += np.uint32(0x165667B1)
-    return b1.astype(np.int64), [(h ^ h >> np.uint32(13)) * SPREAD for h in (two, four, word * np.uint32(0x85EBCA77))]
+    return state.astype(np.int64), [(h ^ h >> np.uint32(13)) * SPREAD for h in (two, four, word * np.uint32(0x85EBCA77))]
 
 
 _cache: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -234,29 +241,28 @@ def words_of(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def first_pass(train: DataFrame) -> DataFrame:
-    """(word, pair, n): counts of words (pair null; the end token is the word that is empty) and of symbol pairs."""
+    """(word, triple, n): counts of words (triple null; the end token is the word that is empty) and of symbols after
+    states (state * ALPHABET + symbol)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, rows = np.zeros(ALPHABET * ALPHABET, np.int64), 0
-        names, held, size = ["word", "pair", "n"], [], 0
+        triples, rows = np.zeros(ALPHABET**3, np.int32), 0  # of one task's texts
+        names, held, size = ["word", "triple", "n"], [], 0
 
         def added() -> pa.Table:
             return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
         def out(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            for b in t.append_column("pair", pa.nulls(t.num_rows, pa.int32())).select(names).to_batches():
+            for b in t.append_column("triple", pa.nulls(t.num_rows, pa.int32())).select(names).to_batches():
                 yield b
 
         for batch in batches:
             raw, offsets = text_bytes(batch["text"])
             for _, part, at, ends, carry in text_pieces(raw, offsets, 1 << 20):
                 symbols, own = symbols_of(part, at, ends)
-                before = np.append(END, symbols[:-1])
-                before[own[:-1][own[:-1] < len(symbols)]] = END
+                state = before(symbols, own, 1, carry) * ALPHABET + before(symbols, own, 2, carry)
+                np.add.at(triples, state * ALPHABET + symbols, np.int32(1))
                 if carry:
-                    before[0] = carry.tail[-1]
-                    carry.tail = symbols[-4:]
-                pairs += np.bincount(before * ALPHABET + symbols, minlength=len(pairs))
+                    carry.tail = np.append(carry.tail, symbols)[-4:]
             rows += batch.num_rows
             for a in range(0, batch.num_rows, 200):
                 seen = pc.value_counts(words_of(batch["text"].slice(a, 200))[1])
@@ -271,10 +277,25 @@ def first_pass(train: DataFrame) -> DataFrame:
         if rows:
             held.append(pa.table({"word": pa.array([b""], pa.binary()), "n": pa.array([rows], pa.int64())}))
             yield from out(added())
-            used = np.flatnonzero(pairs)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), pa.array(pairs[used])], names)
+            used = np.flatnonzero(triples)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), pa.array(triples[used].astype(np.int64))], names)
+
+    return train.select("text").mapInArrow(run, "word binary, triple int, n long").groupBy("word", "triple").agg(F.sum("n").alias("n"))
+
 
-    return train.select("text").mapInArrow(run, "word binary, pair int, n long").groupBy("word", "pair").agg(F.sum("n").alias("n"))
+def fitted_code(triples: DataFrame, codes: int = 0) -> tuple[Code, int]:
+    """The code for lines (triple, n), with codes of their own for the most frequent states (CODES of them unless
+    stated), and how many symbols were counted."""
+    state, symbol = F.expr(f"triple div {ALPHABET}"), F.col("triple") % ALPHABET
+    pairs = np.zeros((ALPHABET, ALPHABET), np.int64)
+    for last, s, n in triples.groupBy(F.expr(f"triple div {ALPHABET**2}"), symbol).agg(F.sum("n")).collect():  # 257 * 257 rows at most
+        pairs[last, s] = n
+    counted = triples.groupBy(state.alias("state")).agg(F.sum("n").alias("n"))
+    top = [r["state"] for r in counted.orderBy(F.desc("n"), "state").limit(codes or CODES).collect()]
+    frequent = {t: np.zeros(ALPHABET) for t in top}
+    for t, s, n in triples.where(state.isin(top)).select(state, symbol, "n").collect():  # 257 rows a state at most
+        frequent[t][s] = n
+    return Code(pairs, frequent), int(pairs.sum())
 
 
 def table_bits(n_bytes: int) -> tuple[int, ...]:
@@ -303,8 +324,8 @@ def context_tables(main: DataFrame, tuning: DataFrame, code: Code, bits: tuple[i
                 raw, offsets = text_bytes(batch["text"])
                 for _, own, at, ends, carry in text_pieces(raw, offsets):
                     symbols, starts = symbols_of(own, at, ends)
-                    before, hashes = contexts(symbols, starts, carry)
-                    where, entry = own_code.entries(before, symbols)
+                    states, hashes = contexts(symbols, starts, carry)
+                    where, entry = own_code.entries(states, symbols)
                     salt, _, bit = own_code.unpacked(entry)
                     for t, h, b in zip(total, hashes, bits):
                         place = slot(h, where, salt, b)
@@ -371,14 +392,16 @@ class Mixer:
 
     def bits_of(self, symbols: np.ndarray, offsets: np.ndarray, order: np.ndarray, carry: Carry | None = None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
         """(symbol's place in order, gate, log odds by context towards the bit that comes, their mix) of every bit of the symbols in an order."""
-        before, hashes = contexts(symbols, offsets, carry)
-        before, symbols = before.take(order), symbols.take(order)
-        at, entry = self.code.entries(before, symbols)
+        states, hashes = contexts(symbols, offsets, carry)
+        states, symbols = states.take(order), symbols.take(order)
+        at, entry = self.code.entries(states, symbols)
         salt, first, bit = self.code.unpacked(entry)
         sign = (2 * bit - 1).astype(np.float32)
         seen = [t.take(slot(h.take(order), at, salt, b)) for t, h, b in zip(self.tables, hashes, self.bits)]
-        gate = GATE_OF.take(seen[FOUR].view(np.uint8).astype(np.int64))
-        gate += first
+        sure = np.abs(seen[FOUR])
+        gate = first
+        for least in SURE:
+            gate += sure >= least
         odds, z = [], np.zeros(len(at), np.float32)
         for o, w in zip(seen, self.weights):
             o = o * sign
@@ -515,19 +538,16 @@ def scores(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     train = docs.where(~held_out(F.col("doc_id")))
     counts = staged(first_pass(train))
-    pairs = np.zeros(ALPHABET * ALPHABET, np.int64)
-    for pair, n in counts.where("pair IS NOT NULL").select("pair", "n").collect():  # 257 * 257 rows at most
-        pairs[pair] = n
+    code, n_symbols = fitted_code(counts.where("triple IS NOT NULL").select("triple", "n"))
     words = counts.where("word IS NOT NULL").select("word", "n")
     size = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, v_all = size["n"] or 0, size["v"]
     ends = words.where(F.octet_length("word") == 0).agg(F.sum("n")).first()[0] or 0
     top = frequent(words, COMMON).collect()  # COMMON rows at most
     common = ([bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.int64))
-    code = Code(pairs)
     teaches = F.pmod(F.xxhash64("doc_id"), F.lit(TUNING)) == 0
     tuning = staged(train.where(teaches))
-    alone, tables = context_tables(train.where(~teaches), tuning, code, table_bits(int(pairs.sum())))
+    alone, tables = context_tables(train.where(~teaches), tuning, code, table_bits(n_symbols))
     weights = learnt_weights(tuning, code, alone)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((*common, code, tables, weights))

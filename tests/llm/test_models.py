@@ -155,9 +155,24 @@ def symbol_pairs(texts):
     return out
 
 
+def frequent_states(texts, states):
+    out = {t: np.zeros(257) for t in states}
+    for text in texts:
+        own = [256, 256, *text.encode(), 256]
+        for b, a, s in zip(own, own[1:], own[2:]):
+            if a * 257 + b in out:
+                out[a * 257 + b][s] += 1
+    return out
+
+
+#: The starts of texts, and some pairs (the last symbol first).
+STATES = [256 * 257 + 256, *(a * 257 + b for a, b in (b"ba", b"o ", b" s", b"xx"))]
+
+
 def trained(texts, bits=(16, 18, 18), weights=None):
-    code = mixing.Code(symbol_pairs(texts))
-    plain = PlainMixer(symbol_pairs(texts), bits)
+    frequent = frequent_states(texts, STATES)
+    code = mixing.Code(symbol_pairs(texts), frequent)
+    plain = PlainMixer(symbol_pairs(texts), bits, frequent)
     for t in texts:
         plain.count(t.encode())
     tables = []
@@ -176,11 +191,12 @@ class PlainMixer:
 
     M = (1 << 32) - 1
 
-    def __init__(self, pairs, bits):
+    def __init__(self, pairs, bits, frequent):
         prior = (pairs.sum(0) + 1) / (pairs.sum() + 257)
         known = [p for p in range(257) if pairs[p].any()]
         self.trees = {None: (0, mixing.code_paths(prior.tolist()))}
         self.trees |= {p: (k + 1, mixing.code_paths((pairs[p] + prior).tolist())) for k, p in enumerate(known)}
+        self.trees |= {divmod(t, 257): (len(known) + k + 1, mixing.code_paths((own + prior).tolist())) for k, (t, own) in enumerate(frequent.items())}
         self.bits, self.seen = bits, [{} for _ in bits]
 
     def steps(self, text):
@@ -195,7 +211,7 @@ class PlainMixer:
                 j -= 1
             word = sum((x + 1) * pow(0x01000193, d, 1 << 32) for d, x in enumerate(symbols[j:i])) + 0x165667B1
             hashes = [(h ^ h >> 13) * 0x2C1B3C6D & m for h in (two, four, word * 0x85EBCA77 & m)]
-            tree, paths = self.trees.get(b[0]) or self.trees[None]
+            tree, paths = self.trees.get((b[0], b[1])) or self.trees.get(b[0]) or self.trees[None]
             out = []
             for depth, (node, bit) in enumerate(paths[s]):
                 salt = (tree * 257 + node + 1) * 0x9E3779B1 & m
@@ -273,13 +289,24 @@ def test_pieces_of_long_texts_do_not_show(monkeypatch):
         assert np.allclose(mixing.curves(m, raw, off), curves, rtol=1e-6, atol=1e-6)
 
 
+def test_codes_are_those_of_the_counts(spark):
+    rows = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+    triples = mixing.first_pass(rows).where("triple IS NOT NULL").select("triple", "n")
+    code, n = mixing.fitted_code(triples, codes=7)
+    counted = Counter(a * 257 + b for t in TEXTS for b, a in zip([256, 256, *t.encode()], [256, *t.encode()]))
+    top = sorted(counted, key=lambda t: (-counted[t], t))[:7]
+    want = mixing.Code(symbol_pairs(TEXTS), frequent_states(TEXTS, top))
+    assert n == sum(len(t.encode()) + 1 for t in TEXTS)
+    assert all((x == y).all() for x, y in ((code.row, want.row), (code.size, want.size), (code.packed, want.packed)))
+
+
 def test_training_counts_do_not_depend_on_pieces(spark, monkeypatch):
     rows = spark.createDataFrame([(TEXTS[5] * 4,), ("x" * 5000 + " y",), ("short",), (None,)], "text string")
     code = mixing.Code(symbol_pairs(TEXTS))
     counted = []
     for piece in (1024, 1 << 18):
         monkeypatch.setattr(mixing, "PIECE", piece)
-        pairs = {r["pair"]: r["n"] for r in mixing.first_pass(rows).where("pair IS NOT NULL").collect()}
+        pairs = {r["triple"]: r["n"] for r in mixing.first_pass(rows).where("triple IS NOT NULL").collect()}
         counted.append((pairs, mixing.context_tables(rows, rows.limit(0), code, (16, 18, 18))))
     assert counted[0][0] == counted[1][0]
     for one, other in zip(counted[0][1], counted[1][1]):
