@@ -240,14 +240,19 @@ def verified(keyed: DataFrame) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "a long, b long")
 
 
-def components_of(distinct: DataFrame, hot: int = HOT) -> DataFrame:
-    """(fp, root) for all fingerprints that link to another one."""
+def edges_of(distinct: DataFrame, hot: int = HOT) -> DataFrame:
+    """Links (a, b) between different fingerprints that lead from each one to all it can reach."""
     n, both = bit_sums(distinct)
     sample = np.array([r["fp"] for r in hashed_share(distinct, n, SAMPLE_ROWS, "fp").select("fp").collect()], np.int64).view(np.uint64)
     parts = plan(sample, n, both)
     masks = masks_of(parts)
     keyed = distinct.select("fp", F.explode(keys_of(F.col("fp"), masks)).alias("k")).select("k.mask", "k.key", "fp")
-    return components(verified(refined(keyed, hot))).select(F.col("node").alias("fp"), "root")
+    return verified(refined(keyed, hot))
+
+
+def components_of(distinct: DataFrame, hot: int = HOT) -> DataFrame:
+    """(fp, root) for all fingerprints that link to another one."""
+    return components(edges_of(distinct, hot)).select(F.col("node").alias("fp"), "root")
 
 
 def with_components(rows: DataFrame, order: list[str], hot: int = HOT) -> DataFrame:

@@ -112,3 +112,26 @@ def test_staged_tables_go(spark):
     before = set(os.listdir(base))
     out = similar.keep_one(spark.createDataFrame(edited_rows(), "doc_id long, text string"))
     assert len(set(os.listdir(base)) - before) == 2 and out.count() and not common._scratch
+
+
+def test_fingerprints_come_first(spark, monkeypatch):
+    """Without the search by shingles, SimHash finds long near copies, and no pair that isn't one by its texts."""
+    rng = random.Random(7)
+    base = words(rng, 600, 4000).split()
+    near = [*base[:300], "changed", *base[301:]]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, words(rng, 600, 4000)), (4, "a b c d e f"), (5, "A b c\td e f"), (6, "")]
+    monkeypatch.setattr(similar, "candidates", lambda keyed, *_: keyed.selectExpr("_row AS a", "_row AS b").limit(0))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert sorted(r["doc_id"] for r in similar.keep_one(df).collect()) == [1, 3, 4, 6] == plain_kept(rows)
+
+
+def test_marks_of_long_sets_still_tell(spark):
+    """Sets of thousands of shingles: unlike ones go before any text is read, like ones stay, also of other widths."""
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 1 << 40, 4600)]
+    texts = [base, base[:3700], [*base[:2000], "x", *base[2001:]], [f"w{x}" for x in rng.integers(0, 1 << 40, 4600)], base[:2300] * 2]
+    rows = spark.createDataFrame([(i, i, b"", " ".join(t)) for i, t in enumerate(texts)], "doc_id long, _row long, digest binary, text string")
+    marks = similar.sketches(rows.drop("digest"), np.zeros(0, np.uint64)).select("_row", "n", "marks")
+    assert {len(r["marks"]) for r in marks.collect()} == {512, 1024}
+    pairs = spark.createDataFrame([(i, j) for i in range(5) for j in range(i + 1, 5)] * 2, "a long, b long")
+    assert sorted(map(tuple, similar.likely(pairs, marks).collect())) == [(0, 1), (0, 2), (1, 2)]
